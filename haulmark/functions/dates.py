@@ -18,7 +18,7 @@ __all__ = [
 ]
 
 _TAIL = r"(?:[ T]+(\S.*))?$"
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T].*)?$"
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]|$)"
 
 # Accepted spellings besides year-month-day with dashes, rewritten to that form.
 # Where both readings fit the month comes first; a first number above 12 is a day.
@@ -34,48 +34,61 @@ _REWRITES = (
 
 # Month names by their first three letters, in order.
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_MONTH_NAME = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
-_MONTH_FIRST = r"^(?:(?i)[a-z]+,?\s+)?" + _MONTH_NAME + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})(?:,?\s+(\S.*))?$"
-_DAY_FIRST = r"^(?:(?i)[a-z]+,?\s+)?(\d{1,2})(?:st|nd|rd|th)?[\s-]+" + _MONTH_NAME + r"[\s,-]+(\d{4})(?:,?\s+(\S.*))?$"
+_MONTH_NAME = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_WEEKDAY = r"(?i)^(?:[a-z]+,?\s+)?"
+_NAMED = (
+    (_WEEKDAY + _MONTH_NAME + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})(?:,?\s+(\S.*))?$",
+     "$3-#$1-$2 $4"),
+    (_WEEKDAY + r"(\d{1,2})(?:st|nd|rd|th)?[\s-]+" + _MONTH_NAME + r"[\s.,-]+(\d{4})(?:,?\s+(\S.*))?$",
+     "$3-#$2-$1 $4"),
+)
+
+_HALF_DAY = r"(?i)\s*([ap])\.?m\.?$"
+
+
+def _rewrite(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
+    for pattern, form in rules:
+        text = F.regexp_replace(text, pattern, form)
+    return text
 
-_HALF_DAY = r"(?i)^(\S+)\s+(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*([ap])\.?m\.?$"
 
+def _year_first(s: Column) -> Column:
+    """Text whose date part reads year-month-day; unknown spellings stay as they are.
 
-def _timestamp(text: Column) -> Column:
-    """``Y-M-D [time]`` text to a timestamp; a 12-hour clock is turned to 24 hours first."""
-    hour = F.regexp_extract(text, _HALF_DAY, 2).try_cast("int") % 12
-    is_pm = F.lower(F.regexp_extract(text, _HALF_DAY, 4)) == "p"
-    full_day = F.concat(
-        F.regexp_extract(text, _HALF_DAY, 1), F.lit(" "),
-        F.when(is_pm, hour + 12).otherwise(hour).cast("string"),
-        F.regexp_extract(text, _HALF_DAY, 3),
+    Each spelling is tried once on one copy of the text, which keeps the generated
+    code of wide projections small; ISO dates, the usual case, skip all of it.
+    """
+    named = _rewrite(s, _NAMED)
+    name = F.lower(F.regexp_extract(named, "#([A-Za-z]{3})", 1))
+    number = ((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("int").cast("string")
+    return (
+        F.when(s.rlike(_ISO), s)
+        .when(s.rlike("[A-Za-z]{3}"), F.regexp_replace(named, F.lit("#[A-Za-z]+"), number))
+        .otherwise(_rewrite(s, _REWRITES))
     )
-    return F.when(text.rlike(_HALF_DAY), full_day).otherwise(text).try_cast("timestamp_ntz")
 
 
-def _named_month(s: Column, pattern: str, month: int, day: int) -> Column:
-    name = F.lower(F.regexp_extract(s, pattern, month))
-    number = ((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("int")
-    return F.concat_ws(
-        "", F.regexp_extract(s, pattern, 3), F.lit("-"), number.cast("string"), F.lit("-"),
-        F.regexp_extract(s, pattern, day), F.lit(" "), F.regexp_extract(s, pattern, 4))
+def _wall_clock(s: Column) -> Column:
+    """Timestamp of the text without its AM or PM mark."""
+    text = F.regexp_replace(_year_first(s), _HALF_DAY, "")
+    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz"))
 
 
 def to_datetime(c: Column) -> Column:
-    """Free-form date and time; anything outside the accepted spellings becomes null.
-
-    The spelling is chosen by pattern before parsing, so a row is parsed once.
-    """
+    """Free-form date and time; anything outside the accepted spellings becomes null."""
     s = strip(c)
-    out = F.when(s.rlike(_ISO), _timestamp(s))
-    for pattern, form in _REWRITES:
-        out = out.when(s.rlike(pattern), _timestamp(F.regexp_replace(s, pattern, form)))
-    out = out.when(s.rlike(_MONTH_FIRST), _timestamp(_named_month(s, _MONTH_FIRST, 1, 2)))
-    return out.when(s.rlike(_DAY_FIRST), _timestamp(_named_month(s, _DAY_FIRST, 2, 1)))
+    clock = _wall_clock(s)
+    mark = F.lower(F.regexp_extract(s, _HALF_DAY, 1))
+    hour = F.hour(clock)
+    shift = (
+        F.when(hour > 12, None).when((mark == "p") & (hour < 12), 12)
+        .when((mark == "a") & (hour == 12), -12).otherwise(0))
+    return F.when(mark == "", clock).otherwise(
+        clock + F.make_dt_interval(F.lit(0), shift))
 
 
 def to_date(c: Column) -> Column:
-    return to_datetime(c).cast("date")
+    return _wall_clock(strip(c)).cast("date")
 
 
 def round_to_second(c: Column) -> Column:

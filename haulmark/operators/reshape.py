@@ -14,8 +14,8 @@ from haulmark.operators.ranking import slice_ordinal
 
 __all__ = [
     "explode_participants", "helper_suffix", "classify_helpers", "blank_helper_columns",
-    "explode_list", "unpivot_daily", "unpivot_weekly", "resolve_year", "long_metrics",
-    "metrics_wide",
+    "explode_list", "melt_matrix", "daily_metrics", "weekly_metrics", "unpivot_daily",
+    "unpivot_weekly", "resolve_year", "long_metrics", "metrics_wide",
 ]
 
 
@@ -38,18 +38,21 @@ def explode_participants(df: DataFrame, ids: str = "transporter_id", names: str
     }).drop("__pos", "__pair")
 
 
-def helper_suffix(df: DataFrame, scope: Sequence[str], arrival: str, code: str = "route_code",
-                  index: str = "participant_index", block: int = 1 << 16) -> DataFrame:
+def helper_suffix(df: DataFrame, scope: Sequence[str], arrival: Sequence[str],
+                  code: str = "route_code", index: str = "participant_index",
+                  block: int = 1 << 16) -> DataFrame:
     """Helpers get ``code(n)``; n counts the helpers of that code over the whole file.
 
-    ``arrival`` is the unique row number of the file rows. The count runs in
-    blocks of arrival numbers, so a code that fills a file is still split.
+    ``arrival`` orders the rows of a file, coarse to fine; the last column is a
+    row number. The count runs in blocks of that number, so a code that fills a
+    file is still split.
     """
     df = df.withColumn(code, F.coalesce(col(code), F.lit("")))
+    slices = {f"__slice{i}": col(c) for i, c in enumerate(arrival[:-1])}
+    slices["__block"] = F.floor(col(arrival[-1]) / F.lit(block))
     helpers = slice_ordinal(
-        df.filter(col(index) > 0), [*scope, code],
-        {"__block": F.floor(col(arrival) / F.lit(block))},
-        [col(arrival), col(index)], "__helper")
+        df.filter(col(index) > 0), [*scope, code], slices,
+        [col(arrival[-1]), col(index)], "__helper")
     numbered = helpers.withColumn(
         code, F.concat(col(code), F.lit("("), F.col("__helper").cast("string"), F.lit(")"))
     ).drop("__helper")
@@ -88,34 +91,43 @@ def explode_list(df: DataFrame, column: str, separators: str = "|,") -> DataFram
     return df.withColumn(column, F.explode_outer(split_list(col(column), separators)))
 
 
-def _unpivot(df: DataFrame, metric: str | None, carry: Sequence[str]) -> DataFrame:
+def melt_matrix(df: DataFrame, metric: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Matrix columns to rows (metric, label, cell); the first column holds the metric name."""
     metric = metric or next(c for c in df.columns if c not in carry)
     values = [c for c in df.columns if c != metric and c not in carry]
-    texts = df.select(*[col(c) for c in carry], col(metric), *[col(c).cast("string").alias(c) for c in values])
-    long = texts.unpivot([col(c) for c in [*carry, metric]], [col(c) for c in values], "__label", "__cell")
+    texts = df.select(*[col(c) for c in carry], col(metric).alias("metric"),
+                      *[col(c).cast("string").alias(c) for c in values])
+    return texts.unpivot([col(c) for c in [*carry, "metric"]], [col(c) for c in values],
+                         "label", "cell")
+
+
+def _metric_cells(long: DataFrame, carry: Sequence[str], **label: Column) -> DataFrame:
     return long.select(
-        *[col(c) for c in carry], strip(F.col("__label")).alias("__label"),
-        strip(col(metric)).alias("metric_name"),
-        percent_number(F.col("__cell")).alias("metric_value"))
+        *[col(c) for c in carry], *[e.alias(n) for n, e in label.items()],
+        strip(F.col("metric")).alias("metric_name"),
+        percent_number(F.col("cell")).alias("metric_value"),
+    ).dropna(subset=[next(iter(label)), "metric_name"])
 
 
-def unpivot_daily(df: DataFrame, metric: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
-    """Matrix with one column per day to (metric_date, metric_name, metric_value).
+def daily_metrics(long: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Matrix cells (metric, label, cell) whose label is a date."""
+    return _metric_cells(long, carry, metric_date=to_date(F.col("label")))
 
-    The first column holds the metric name. Columns whose header is no date vanish.
-    """
-    long = _unpivot(df, metric, carry).withColumn("metric_date", to_date(F.col("__label")))
-    return long.select(*[col(c) for c in carry], "metric_date", "metric_name", "metric_value").dropna(
-        subset=["metric_date", "metric_name"])
+
+def weekly_metrics(long: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Matrix cells whose label is a week; ``week`` is null where it ends in no digits."""
+    label = week_label(F.col("label"))
+    return _metric_cells(long, carry, iso_year_week=label, week=trailing_digits(label))
+
+
+def unpivot_daily(df: DataFrame, metric: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
+    """Matrix with one column per day to (metric_date, metric_name, metric_value)."""
+    return daily_metrics(melt_matrix(df, metric, carry), carry)
 
 
 def unpivot_weekly(df: DataFrame, metric: str | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Matrix with one column per week to (iso_year_week, week, metric_name, metric_value)."""
-    long = _unpivot(df, metric, carry).withColumn("iso_year_week", week_label(F.col("__label")))
-    return long.select(
-        *[col(c) for c in carry], "iso_year_week",
-        trailing_digits(F.col("iso_year_week")).alias("week"), "metric_name", "metric_value",
-    ).dropna(subset=["iso_year_week", "metric_name"])
+    return weekly_metrics(melt_matrix(df, metric, carry), carry)
 
 
 def resolve_year(df: DataFrame, existing: DataFrame, this_year: int, scope: Sequence[str],

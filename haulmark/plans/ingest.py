@@ -1,8 +1,8 @@
 """Ingest pipelines: raw text frames to typed table rows.
 
 A raw frame has one text column per header. Frames read from files also carry
-``file_name`` and ``arrival`` (see ``haulmark.sources.exports``); pass their names
-in ``carry`` to keep them.
+their file and row order (``haulmark.sources.exports.ORIGIN``); pass those names in
+``carry`` to keep them.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from haulmark.operators.checks import drop_null_keys
 from haulmark.operators.columns import col
 from haulmark.operators.headers import canonical_headers, require_columns
 from haulmark.operators.reshape import (
-    blank_helper_columns, classify_helpers, explode_list, explode_participants, helper_suffix,
-    resolve_year, unpivot_daily, unpivot_weekly,
+    blank_helper_columns, classify_helpers, daily_metrics, explode_list, explode_participants,
+    helper_suffix, resolve_year, weekly_metrics,
 )
 from haulmark.plans import specs as S
 
@@ -34,14 +34,14 @@ def ingest_people(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     return drop_null_keys(typed, ["transporter_id", "full_name"])
 
 
-def ingest_routes(raw: DataFrame, snapshot: Column, scope: Sequence[str], arrival: str,
-                  helper_tags: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+def ingest_routes(raw: DataFrame, snapshot: Column, scope: Sequence[str],
+                  arrival: Sequence[str], helper_tags: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Route snapshot rows, one per participant.
 
-    ``scope`` names the columns that identify a file and ``arrival`` its row
-    order. ``helper_tags`` replaces the service type of tagged helpers.
+    ``scope`` names the columns that identify a file and ``arrival`` the columns
+    that order its rows, the last one a row number. ``helper_tags`` replaces the service type of tagged helpers.
     """
-    keep = tuple(dict.fromkeys([*carry, *scope, arrival]))
+    keep = tuple(dict.fromkeys([*carry, *scope, *arrival]))
     typed = S.apply_spec(S.ROUTES, raw, {"snapshot_dt": snapshot}, keep)
     rows = explode_participants(typed)
     if helper_tags:
@@ -80,22 +80,25 @@ def ingest_quality_daily(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame
     return drop_null_keys(S.apply_spec(S.QUALITY_DAILY, raw, carry=tuple(carry)), ["metric_date"])
 
 
-def ingest_daily_overview(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    long = unpivot_daily(raw, carry=carry)
-    return long.withColumns({
+def ingest_daily_overview(cells: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Daily metric rows from matrix cells (metric, label, cell)."""
+    return daily_metrics(cells, carry).withColumns({
         "metric_value": col("metric_value").try_cast("decimal(18,4)"),
         "source_note": F.lit("DailyOverview")})
 
 
-def ingest_weekly_overview(raw: DataFrame, existing: DataFrame, this_year: int,
-                           scope: Sequence[str], file_year: str | None = None) -> DataFrame:
-    """Weekly matrix rows keyed by (year, week, metric); labels without a week are dropped
-    here and found by ``S.WEEKLY_OVERVIEW`` checks upstream."""
-    carry = list(dict.fromkeys([*scope, *([file_year] if file_year else [])]))
-    long = unpivot_weekly(raw, carry=carry)
-    dated = resolve_year(long, existing, this_year, scope, file_year)
+def ingest_weekly_overview(cells: DataFrame, existing: DataFrame, this_year: int,
+                           scope: Sequence[str], file_year: str | None = None,
+                           carry: Sequence[str] = ()) -> DataFrame:
+    """Weekly metric rows keyed by (year, week, metric) from matrix cells.
+
+    Labels that end in no digits have no week and are left out here;
+    ``weekly_metrics`` shows them.
+    """
+    kept = list(dict.fromkeys([*carry, *scope, *([file_year] if file_year else [])]))
+    dated = resolve_year(weekly_metrics(cells, kept), existing, this_year, scope, file_year)
     return dated.filter(col("week").isNotNull()).select(
-        *[col(c) for c in scope], "year", "week", "metric_name",
+        *[col(c) for c in carry], "year", "week", "metric_name",
         col("metric_value").try_cast("decimal(18,4)").alias("metric_value"),
         F.lit("WeeklyOverview").alias("source_note"))
 
