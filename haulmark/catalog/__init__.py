@@ -10,11 +10,21 @@ from haulmark.catalog import (
     q_calendar, q_changes, q_functions, q_ingest, q_reports, q_shaping, q_sources,
 )
 
+from haulmark.catalog.base import Run
+from haulmark.session import tune
+
 _MODULES = (q_functions, q_sources, q_ingest, q_shaping, q_changes, q_calendar, q_reports)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: q.run for m in _MODULES for name, q in m.QUERIES.items()}
+    return {name: _tuned(q.run) for m in _MODULES for name, q in m.QUERIES.items()}
+
+
+def _tuned(run: Run) -> Run:
+    def call(spark: SparkSession, sf: str) -> DataFrame:
+        return run(tune(spark), sf)
+    call.__doc__ = run.__doc__
+    return call
 
 
 def all_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from haulmark.functions.text import strip
+from haulmark.functions.text import strip_common
 
 __all__ = [
     "to_datetime", "to_date", "round_to_second", "day_stamp", "filename_timestamp",
@@ -17,78 +17,71 @@ __all__ = [
     "sunday_week_number",
 ]
 
-_TAIL = r"(?:[ T]+(\S.*))?$"
-_ISO = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]|$)"
-
 # Accepted spellings besides year-month-day with dashes, rewritten to that form.
 # Where both readings fit the month comes first; a first number above 12 is a day.
 # Two-digit years up to 75 belong to this century.
-_REWRITES = (
-    (r"^(0?[1-9]|1[0-2])([/.-])(\d{1,2})\2(\d{4})" + _TAIL, "$4-$1-$3 $5"),
-    (r"^(1[3-9]|2\d|3[01])([/.-])(\d{1,2})\2(\d{4})" + _TAIL, "$4-$3-$1 $5"),
-    (r"^(\d{4})([/.])(\d{1,2})\2(\d{1,2})" + _TAIL, "$1-$3-$4 $5"),
-    (r"^(0?[1-9]|1[0-2])([/.-])(\d{1,2})\2([0-6]\d|7[0-5])" + _TAIL, "20$4-$1-$3 $5"),
-    (r"^(0?[1-9]|1[0-2])([/.-])(\d{1,2})\2(7[6-9]|[89]\d)" + _TAIL, "19$4-$1-$3 $5"),
-    (r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"),
-)
+_NUMERIC = (
+    r"^(?:(0?[1-9]|1[0-2])[/.-](\d{1,2})[/.-](\d{4})|(1[3-9]|2\d|3[01])[/.-](\d{1,2})[/.-](\d{4})"
+    r"|(\d{4})[/.]?(\d{1,2})[/.]?(\d{1,2}))(?=[ T]|$)")
+_NUMERIC_FORM = "$3$6$7-$1$5$8-$2$4$9"
+_SHORT_YEAR = r"^(\d{1,2}[/.-]\d{1,2}[/.-])(\d{2})(?=[ T]|$)"
+_OLD_YEAR = r"^(\d{1,2}[/.-]\d{1,2}[/.-])20(7[6-9]|[89]\d)(?=[ T]|$)"
 
 # Month names by their first three letters, in order.
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
-_MONTH_NAME = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
-_WEEKDAY = r"(?i)^(?:[a-z]+,?\s+)?"
-_NAMED = (
-    (_WEEKDAY + _MONTH_NAME + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})(?:,?\s+(\S.*))?$",
-     "$3-#$1-$2 $4"),
-    (_WEEKDAY + r"(\d{1,2})(?:st|nd|rd|th)?[\s-]+" + _MONTH_NAME + r"[\s.,-]+(\d{4})(?:,?\s+(\S.*))?$",
-     "$3-#$2-$1 $4"),
-)
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_NAMED_MONTH_FIRST = r"(?i)^(?:[a-z]+,?\s+)?" + _MONTH + r"\.?\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})(?:,?\s+(?=\S)|$)"
+_NAMED_DAY_FIRST = r"(?i)^(?:[a-z]+,?\s+)?(\d{1,2})(?:st|nd|rd|th)?[\s-]+" + _MONTH + r"[\s.,-]+(\d{4})(?:,?\s+(?=\S)|$)"
 
+_MARKED_HOUR = r"(?i)(\d{1,2}):\d{2}(?::\d{2}(?:\.\d+)?)?\s*[ap]\.?m\.?$"
 _HALF_DAY = r"(?i)\s*([ap])\.?m\.?$"
 
 
-def _rewrite(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
-    for pattern, form in rules:
-        text = F.regexp_replace(text, pattern, form)
-    return text
-
+def _numeric_forms(s: Column) -> Column:
+    """Numeric spellings to year-month-day, null where none fits."""
+    full = F.regexp_replace(F.regexp_replace(s, _SHORT_YEAR, "$120$2"), _OLD_YEAR, "$119$2")
+    dated = F.when(s.rlike(_SHORT_YEAR), full).otherwise(s)
+    return F.nullif(F.regexp_replace(dated, _NUMERIC, _NUMERIC_FORM), s)
 
-def _year_first(s: Column) -> Column:
-    """Text whose date part reads year-month-day; unknown spellings stay as they are.
 
-    Each spelling is tried once on one copy of the text, which keeps the generated
-    code of wide projections small; ISO dates, the usual case, skip all of it.
-    """
-    named = _rewrite(s, _NAMED)
-    name = F.lower(F.regexp_extract(named, "#([A-Za-z]{3})", 1))
+def _named_forms(s: Column) -> Column:
+    """Spellings with a month name to year-month-day."""
+    marked = F.regexp_replace(
+        F.regexp_replace(s, _NAMED_MONTH_FIRST, "$3-#$1-$2 "), _NAMED_DAY_FIRST, "$3-#$2-$1 ")
+    name = F.lower(F.regexp_extract(marked, "#([A-Za-z]{3})", 1))
     number = ((F.instr(F.lit(_MONTHS), name) + 2) / 3).cast("int").cast("string")
-    return (
-        F.when(s.rlike(_ISO), s)
-        .when(s.rlike("[A-Za-z]{3}"), F.regexp_replace(named, F.lit("#[A-Za-z]+"), number))
-        .otherwise(_rewrite(s, _REWRITES))
-    )
+    return F.regexp_replace(marked, F.lit("#[A-Za-z]+"), number)
 
 
 def _wall_clock(s: Column) -> Column:
-    """Timestamp of the text without its AM or PM mark."""
-    text = F.regexp_replace(_year_first(s), _HALF_DAY, "")
-    return F.when(text.rlike(_ISO), text.try_cast("timestamp_ntz"))
+    """Timestamp of the text without its AM or PM mark.
+
+    ISO text, the usual case, goes straight to the cast, which is null for bad text
+    and never raises. It would accept a bare year and month, so short text is not ISO.
+    """
+    iso = (F.substring(s, 5, 1) == "-") & (F.length(s) >= 8)
+    named = s.rlike("[A-Za-z]{3}")
+    text = F.when(iso, s).when(named, _named_forms(s)).otherwise(_numeric_forms(s))
+    return F.regexp_replace(text, _HALF_DAY, "").try_cast("timestamp_ntz")
 
 
 def to_datetime(c: Column) -> Column:
-    """Free-form date and time; anything outside the accepted spellings becomes null."""
-    s = strip(c)
-    clock = _wall_clock(s)
-    mark = F.lower(F.regexp_extract(s, _HALF_DAY, 1))
-    hour = F.hour(clock)
-    shift = (
-        F.when(hour > 12, None).when((mark == "p") & (hour < 12), 12)
-        .when((mark == "a") & (hour == 12), -12).otherwise(0))
-    return F.when(mark == "", clock).otherwise(
-        clock + F.make_dt_interval(F.lit(0), shift))
+    """Free-form date and time; anything outside the accepted spellings becomes null.
+
+    The hours to add for an AM or PM mark come from the text, so the parsed
+    timestamp appears once in the expression.
+    """
+    s = strip_common(c)
+    hour = F.nullif(F.regexp_extract(s, _MARKED_HOUR, 1), F.lit("")).try_cast("int")
+    morning = F.lower(F.regexp_extract(s, _HALF_DAY, 1)) == "a"
+    shift = F.when(s.rlike(_HALF_DAY), F.when(hour > 12, None).when(
+        hour == 12, F.when(morning, -12).otherwise(0)).otherwise(
+        F.when(morning, 0).otherwise(12))).otherwise(0)
+    return _wall_clock(s) + F.make_dt_interval(F.lit(0), shift)
 
 
 def to_date(c: Column) -> Column:
-    return _wall_clock(strip(c)).cast("date")
+    return _wall_clock(strip_common(c)).cast("date")
 
 
 def round_to_second(c: Column) -> Column:
@@ -99,7 +92,7 @@ def round_to_second(c: Column) -> Column:
 
 def day_stamp(c: Column) -> Column:
     """23:00 on the given day; a bare number counts days from 1899-12-30."""
-    s = strip(c)
+    s = strip_common(c)
     serial = F.date_add(F.lit("1899-12-30").cast("date"),
                         F.floor(s.try_cast("double")).cast("int"))
     day = F.when(s.rlike(r"^\d{1,6}(\.\d+)?$"), serial).otherwise(to_date(c))

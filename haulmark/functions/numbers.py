@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from haulmark.functions.text import strip
 
 __all__ = [
     "to_int", "strict_int", "to_decimal", "num_dec", "to_float", "percent_number",
@@ -13,52 +12,62 @@ __all__ = [
 ]
 
 
+# A failed cast costs an exception per row, which dirty text would raise for every
+# second cell. Numbers are therefore recognised by pattern first, and only text that
+# is one reaches the cast; ``nullif`` turns "no match" into null without repeating
+# the expression.
+_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+_WHOLE = "[+-]?[0-9]+"
+_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]*"
+
+
 def _no_commas(c: Column) -> Column:
-    return F.translate(strip(c), ",", "")
+    return F.replace(c, F.lit(","), F.lit(""))
 
 
-def _double(text: Column) -> Column:
-    """Text to double; the JVM's type suffixes, NaN and infinity are not numbers here."""
-    last = F.lower(F.right(strip(text), F.lit(1)))
-    return F.when(~last.isin("d", "f", "n", "y"), text.try_cast("double"))
+def _matched(text: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
 
 
 def to_int(c: Column, dtype: str = "int") -> Column:
     """Integer literal after dropping commas; ``3.0`` is not one."""
-    return _no_commas(c).try_cast(dtype)
+    return _matched(_no_commas(c), f"^{_SPACE}({_WHOLE}){_SPACE}$").try_cast(dtype)
 
 
 def strict_int(c: Column, dtype: str = "int") -> Column:
     """Integer literal as it stands; a comma makes it null."""
-    return strip(c).try_cast(dtype)
+    return _matched(c, f"^{_SPACE}({_WHOLE}){_SPACE}$").try_cast(dtype)
 
 
 def to_decimal(c: Column, precision: int = 18, places: int = 2) -> Column:
     """Decimal after dropping commas and one ``%`` (95% stays 95), rounded half up."""
-    return F.regexp_replace(_no_commas(c), "%$", "").try_cast(f"decimal({precision},{places})")
+    return _matched(_no_commas(c), f"^{_SPACE}({_NUMBER}){_SPACE}%?{_SPACE}$").try_cast(
+        f"decimal({precision},{places})")
 
 
 def num_dec(c: Column, precision: int = 18, places: int = 2) -> Column:
-    """As ``to_decimal``; text around the number is ignored and the first number taken."""
-    dtype = f"decimal({precision},{places})"
-    s = strip(F.regexp_replace(_no_commas(c), "%$", ""))
-    token = F.regexp_extract(s, r"[-+]?\d+(?:\.\d+)?", 0)
-    return F.coalesce(s.try_cast(dtype), token.try_cast(dtype))
+    """As ``to_decimal``; text around the number is ignored and the first number taken.
+
+    A whole number with an exponent is read as such, otherwise digits and one point.
+    """
+    token = _matched(_no_commas(c), 
+                     rf"(^{_SPACE}{_NUMBER}(?={_SPACE}%?{_SPACE}$)|[-+]?[0-9]+(?:\.[0-9]+)?)")
+    return token.try_cast(f"decimal({precision},{places})")
 
 
 def to_float(c: Column) -> Column:
     """Double after dropping commas and one ``%``."""
-    return _double(F.regexp_replace(_no_commas(c), "%$", ""))
+    return _matched(_no_commas(c), f"^{_SPACE}({_NUMBER}){_SPACE}%?{_SPACE}$").try_cast("double")
 
 
 def percent_number(c: Column) -> Column:
     """Double after dropping commas and every trailing ``%``."""
-    return _double(F.rtrim(_no_commas(c), F.lit("%")))
+    return _matched(_no_commas(c), f"^{_SPACE}({_NUMBER}){_SPACE}%*{_SPACE}$").try_cast("double")
 
 
 def plain_number(c: Column) -> Column:
     """Double after dropping commas; a percent sign makes it null."""
-    return _double(_no_commas(c))
+    return _matched(_no_commas(c), f"^{_SPACE}({_NUMBER}){_SPACE}$").try_cast("double")
 
 
 def opt_int(c: Column, dtype: str = "int") -> Column:
@@ -68,11 +77,11 @@ def opt_int(c: Column, dtype: str = "int") -> Column:
 
 def hours_label(c: Column) -> Column:
     """Hours from a label such as ``8 hr`` or ``10HR``."""
-    return F.nullif(F.regexp_extract(c, r"(?i)(\d+)\s*hr", 1), F.lit("")).try_cast("int")
+    return _matched(c, r"(?i)(\d+)\s*hr").try_cast("int")
 
 
 def trailing_digits(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(c, r"(\d+)$", 1), F.lit("")).try_cast("int")
+    return _matched(c, r"(\d+)$").try_cast("int")
 
 
 def safe_divide(a: Column, b: Column) -> Column:

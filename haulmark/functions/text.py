@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 __all__ = [
-    "NULL_WORDS", "NAME_NULL_WORDS", "ID_NULL_WORDS", "strip", "null_like", "blank_to_null",
+    "NULL_WORDS", "NAME_NULL_WORDS", "ID_NULL_WORDS", "strip", "strip_common", "null_like", "blank_to_null",
     "name_text", "limit_length", "normalize_id", "split_list", "station_code",
     "route_station", "week_label", "service_type", "full_name", "canonical_key",
     "row_signature", "key_text", "time_text", "id_text",
@@ -21,22 +21,31 @@ NAME_NULL_WORDS = ("", "N/A", "Missing", "NULL")
 ID_NULL_WORDS = ("", "null", "none", "n/a", "missing")
 
 # Space characters that trimming removes: ASCII controls and Unicode White_Space.
-_SPACES = (
-    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
-    + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "\u2028\u2029\u202f\u205f\u3000"
-)
+_COMMON_SPACES = " \t\n\x0b\x0c\r\xa0"
+_RARE_SPACES = (
+    "\x1c\x1d\x1e\x1f\x85\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip_common(c: Column) -> Column:
+    """Trim ASCII white space and no-break spaces."""
+    return F.btrim(c, F.lit(_COMMON_SPACES))
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of space at both ends (SQL ``trim`` removes blanks only)."""
-    return F.btrim(c, F.lit(_SPACES))
+    """Trim every kind of space at both ends (SQL ``trim`` removes blanks only).
+
+    Trimming costs time per character of the set, so the full set is used only on
+    text that holds a rare space.
+    """
+    rare = F.btrim(c, F.lit(_COMMON_SPACES + _RARE_SPACES))
+    return F.when(c.rlike(f"[{_RARE_SPACES}]"), rare).otherwise(strip_common(c))
 
 
 def null_like(c: Column, words: Sequence[str] = NULL_WORDS) -> Column:
     """Trimmed text, or null where the trimmed text is one of ``words``."""
-    s = strip(c)
-    return F.when(~s.isin(*words), s)
+    pattern = "^(?:" + "|".join(w for w in words if w) + ")$"
+    return F.nullif(F.regexp_replace(strip(c), pattern, ""), F.lit(""))
 
 
 def blank_to_null(c: Column) -> Column:

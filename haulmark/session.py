@@ -16,8 +16,21 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide typed projections generate methods longer than the 8000 bytecodes HotSpot
+    # compiles. Past that limit Spark splits the expressions into smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# The settings above that may be changed on a running session.
+_RUNTIME = ("spark.sql.codegen.hugeMethodLimit", "spark.sql.session.timeZone")
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session that was built elsewhere."""
+    for key in _RUNTIME:
+        spark.conf.set(key, SETTINGS[key])
+    return spark
+
 
 def build_session(app_name: str = "haulmark", master: str | None = None,
                   **conf: str) -> SparkSession:

@@ -18,7 +18,7 @@ def evaluate(spark, fn, values, dtype="string"):
 CASES = [
     ("null_like", H.null_like,
      {" ": None, "N/A": None, "missing": None, "None": "None", " x ": "x", " \ty\n": "y",
-      "Null": "Null", "": None, "MISSING": "MISSING"}),
+      "Null": "Null", "": None, "MISSING": "MISSING", "\u2003N/A\u3000": None, "\xa0z\u2009": "z"}),
     ("to_int", H.to_int,
      {"1,234": 1234, "3.0": None, "abc": None, " 7 ": 7, "+5": 5, "N/A": None, ",": None,
       "99999999999": None, "-3": -3}),
