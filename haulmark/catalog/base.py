@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from haulmark.operators.columns import col
+from haulmark.session import spread
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +37,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def raw_frame(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """A text frame as an export would hold it: header to SQL expression."""
-    return df.select(*[F.expr(e).alias(h) for h, e in columns.items()])
+    return spread(df).select(*[F.expr(e).alias(h) for h, e in columns.items()])
 
 
 def raw_sql(source: str, columns: Mapping[str, str]) -> str:

@@ -50,8 +50,8 @@ def num_dec(c: Column, precision: int = 18, places: int = 2) -> Column:
 
     A whole number with an exponent is read as such, otherwise digits and one point.
     """
-    token = _matched(_no_commas(c), 
-                     rf"(^{_SPACE}{_NUMBER}(?={_SPACE}%?{_SPACE}$)|[-+]?[0-9]+(?:\.[0-9]+)?)")
+    token = _matched(
+        _no_commas(c), rf"(^{_SPACE}{_NUMBER}(?={_SPACE}%?{_SPACE}$)|[-+]?[0-9]+(?:\.[0-9]+)?)")
     return token.try_cast(f"decimal({precision},{places})")
 
 
@@ -72,7 +72,7 @@ def plain_number(c: Column) -> Column:
 
 def opt_int(c: Column, dtype: str = "int") -> Column:
     """A double cut to an integer; NaN, infinity and overflow become null."""
-    return F.when(~F.isnan(c), c.try_cast(dtype))
+    return c.try_cast(dtype)
 
 
 def hours_label(c: Column) -> Column:

@@ -44,17 +44,16 @@ def scan_csv_strings(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Files under a folder with their target table, without reading them."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select("path", "length", "modificationTime"))
-    name = F.element_at(F.split("path", "/"), -1)
-    # Paths come back percent-encoded.
-    return files.select(
-        F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("file_path"),
-        F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))).alias("file_name"),
-        "length", "modificationTime",
-    ).withColumn("table", F.when(is_bundle(F.col("file_name")), "(bundle)")
-                 .otherwise(route_file(F.col("file_name"))))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(
+        _decoded("file_path"), _decoded("file_name"), "length", "modificationTime")
+    return files.withColumn("table", F.when(is_bundle(F.col("file_name")), "(bundle)")
+                            .otherwise(route_file(F.col("file_name"))))
+
+
+def _decoded(name: str) -> Column:
+    """A file's path or name as written; the metadata column is percent-encoded."""
+    encoded = F.col(f"_metadata.{name}")
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias(name)
 
 
 def _rows(spark: SparkSession, path: str, table: str | None, width: int,
@@ -68,27 +67,26 @@ def _rows(spark: SparkSession, path: str, table: str | None, width: int,
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").csv(path))
     if table:
         # A filter on the file name alone skips the other files before reading.
-        frame = frame.filter(route_file(F.col("_metadata.file_name")) == table)
+        frame = frame.filter(route_file(_decoded("file_name")) == table)
     too_wide = F.raise_error(F.lit(f"a row has more than {width} columns; raise the width"))
     last = F.when(col(names[-1]).isNotNull(), too_wide.cast("string")).otherwise(col(names[-2]))
     return frame.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+        _decoded("file_path"), _decoded("file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("split_row"),
         F.array(*[col(n) for n in names[:-2]], last).alias("cells"))
 
 
 def _headers(rows: DataFrame) -> DataFrame:
-    """One row per file: its header, trimmed and lower case; a repeated name gets a suffix."""
+    """One row per file: its header as labels and as lower-case names without repeats."""
     first = rows.filter(F.col("split_start") == 0).groupBy("file_path").agg(
         F.min_by("cells", "split_row").alias("raw"), F.min("split_row").alias("header_row"))
-    clean = F.transform("raw", lambda x: F.lower(strip(F.coalesce(x, F.lit("")))))
-    first = first.withColumn("names", clean)
+    first = first.withColumn("labels", F.transform("raw", lambda x: strip(F.coalesce(x, F.lit("")))))
+    first = first.withColumn("names", F.transform("labels", F.lower))
     unique = F.transform("names", lambda x, i: F.when(
-        F.array_position("names", x) == i + 1, x
+        (x == "") | (F.array_position("names", x) == i + 1), x
     ).otherwise(F.concat(x, F.lit("."), i.cast("string"))))
-    return first.select("file_path", "header_row", unique.alias("names"))
+    return first.select("file_path", "header_row", "labels", unique.alias("names"))
 
 
 def _data_rows(rows: DataFrame, headers: DataFrame) -> DataFrame:
@@ -133,9 +131,9 @@ def read_matrix_cells(spark: SparkSession, path: str, table: str | None = None,
     """Matrix files as rows (origin, metric, label, cell), each with its own header."""
     rows = _rows(spark, path, table, width, multi_line)
     data = _data_rows(rows, _headers(rows))
-    cells = data.select(*ORIGIN, F.get("cells", F.lit(0)).alias("metric"), "names",
+    cells = data.select(*ORIGIN, F.get("cells", F.lit(0)).alias("metric"), "labels",
                         F.posexplode("cells").alias("spot", "cell"))
-    label = F.get("names", F.col("spot"))
+    label = F.get("labels", F.col("spot"))
     return cells.filter((F.col("spot") > 0) & (label != "")).select(
         *ORIGIN, "metric", label.alias("label"), "cell")
 
@@ -170,9 +168,8 @@ def read_bundle_rows(spark: SparkSession, path: str) -> DataFrame:
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
-        .filter(is_bundle(F.col("_metadata.file_name")))
-        .select(F.col("_metadata.file_path").alias("file_path"),
-                F.col("_metadata.file_name").alias("file_name"), "content"))
+        .filter(is_bundle(_decoded("file_name")))
+        .select(_decoded("file_path"), _decoded("file_name"), "content"))
     members = F.udtf(_Members, returnType="member string, row_no bigint, cells map<string,string>")
     spark.udtf.register("haulmark_archive_rows", members)
     return spark.sql(
