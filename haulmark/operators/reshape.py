@@ -65,10 +65,13 @@ def classify_helpers(df: DataFrame, scope: Sequence[str], name: str = "driver_na
 
     A name seen exactly twice and once as a helper is a Rescue; a name that is
     never first and at least once a helper is a Sweeper. Counts are aggregated
-    per name on the map side and only names that earn a tag are joined back.
+    per name on the map side, only names that earn a tag are joined back, and only
+    named helper rows take part in the join: first participants and rows without a
+    name, which would all meet in one partition, are not shuffled.
     """
     key = [*scope, "__name"]
     work = df.withColumn("__name", F.nullif(strip(col(name)), F.lit("")))
+    can_earn = (col(index) > 0) & F.col("__name").isNotNull()
     seen = work.filter(F.col("__name").isNotNull()).groupBy(*key).agg(
         F.count(F.lit(1)).alias("__all"),
         F.sum((col(index) > 0).cast("long")).alias("__late"))
@@ -76,8 +79,9 @@ def classify_helpers(df: DataFrame, scope: Sequence[str], name: str = "driver_na
         (F.col("__all") == 2) & (F.col("__late") == 1), F.lit("Rescue")
     ).when(F.col("__all") == F.col("__late"), F.lit("Sweeper")).alias(tag))
     tagged = tagged.filter(F.col(tag).isNotNull())
-    joined = work.join(tagged, key, "left")
-    return joined.withColumn(tag, F.when(col(index) > 0, F.col(tag))).select(*df.columns, tag)
+    helpers = work.filter(can_earn).join(tagged, key, "left").select(*df.columns, tag)
+    others = work.filter(~can_earn).select(*df.columns, F.lit(None).cast("string").alias(tag))
+    return others.unionByName(helpers)
 
 
 def blank_helper_columns(df: DataFrame, columns: Sequence[str],
