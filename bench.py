@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder of the tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
-BENCH_RUNS     timed runs per query, the median counts (default 3)
+BENCH_RUNS     timed runs per query after one warm-up, the median counts (default 1)
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline queries)
 
 Results go to Spark's ``noop`` sink: every row and column is produced, none is kept.
@@ -34,7 +34,7 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     queries = catalog.all_queries()
     wanted = os.environ.get("BENCH_QUERIES", "")
     names = list(queries) if wanted == "all" else [n for n in wanted.split(",") if n] or list(HEADLINE)
