@@ -20,11 +20,9 @@ NAME_NULL_WORDS = ("", "N/A", "Missing", "NULL")
 # Identifiers that mean "no identifier", compared in lower case.
 ID_NULL_WORDS = ("", "null", "none", "n/a", "missing")
 
-# Space characters that trimming removes: ASCII controls and Unicode White_Space.
+# Space characters that trimming removes: ASCII controls and Unicode separators.
 _COMMON_SPACES = " \t\n\x0b\x0c\r\xa0"
-_RARE_SPACES = (
-    "\x1c\x1d\x1e\x1f\x85\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
-    + "\u2028\u2029\u202f\u205f\u3000")
+_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
 
 
 def strip_common(c: Column) -> Column:
@@ -33,19 +31,19 @@ def strip_common(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of space at both ends (SQL ``trim`` removes blanks only).
-
-    Trimming costs time per character of the set, so the full set is used only on
-    text that holds a rare space.
-    """
-    rare = F.btrim(c, F.lit(_COMMON_SPACES + _RARE_SPACES))
-    return F.when(c.rlike(f"[{_RARE_SPACES}]"), rare).otherwise(strip_common(c))
+    """Trim every kind of space at both ends (SQL ``trim`` removes blanks only)."""
+    return F.regexp_replace(c, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def null_like(c: Column, words: Sequence[str] = NULL_WORDS) -> Column:
-    """Trimmed text, or null where the trimmed text is one of ``words``."""
-    pattern = "^(?:" + "|".join(w for w in words if w) + ")$"
-    return F.nullif(F.regexp_replace(strip(c), pattern, ""), F.lit(""))
+    """Trimmed text, or null where the trimmed text is one of ``words``.
+
+    One pattern removes the spaces or a whole null word, so the cell is scanned
+    and mentioned once.
+    """
+    word = "|".join(w for w in words if w)
+    pattern = f"^{_SPACE}*(?:{word})?{_SPACE}*$|^{_SPACE}+|{_SPACE}+$"
+    return F.nullif(F.regexp_replace(c, pattern, ""), F.lit(""))
 
 
 def blank_to_null(c: Column) -> Column:
