@@ -59,7 +59,7 @@ def tenure_candidates(service: DataFrame, people: DataFrame,
     """
     daily = _counted(service).groupBy("name_key", "row_date").agg(F.count(F.lit(1)).alias("n"))
     joined = daily.join(_active(people), "name_key")
-    # Rows without a date sort first, as null dates do in the reference database.
+    # Rows without a date sort first, as nulls do in the original ordering.
     running = (
         Window.partitionBy("transporter_id").orderBy(F.col("row_date").asc_nulls_first(), "name_key")
         .rowsBetween(Window.unboundedPreceding, 0))
