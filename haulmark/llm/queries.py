@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from haulmark.llm.codec import encode_decode
+from haulmark.llm.counts import token_counts
+from haulmark.llm.idfile import read_ids, write_ids
 from haulmark.llm.neardup import near_duplicates
+from haulmark.session import scratch_path
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,10 +35,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 NEAR_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws FROM documents),
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(ws) - 1), i -> ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
+         ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]))
          END AS sh FROM w),
 u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
 p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS i
@@ -45,6 +52,27 @@ SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce
 FROM s LEFT JOIN m ON m.x = s.doc_id"""
 
 
+@_query("op1_id_files")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "ids")
+    write_ids(_table(spark, sf, "documents"), folder, TOKENIZER, end_id=2)
+    return read_ids(spark, folder, digest=True)
+
+
 @_query("op2_minhash_groups", NEAR_SQL)
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents"), shingle=3, percent=85)
+
+
+@_query("op3_bpe_round_trip")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    coded = encode_decode(_table(spark, sf, "documents"), TOKENIZER)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query("op4_token_counts")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts(_table(spark, sf, "documents"), TOKENIZER)
