@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from haulmark.llm import langid
 from haulmark.llm.codec import encode_decode
 from haulmark.llm.counts import token_counts
 from haulmark.llm.idfile import read_ids, write_ids
 from haulmark.llm.neardup import near_duplicates
+from haulmark.llm.shards import minimax_shards
+from haulmark.llm.simhash import edited_likeness
 from haulmark.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -76,3 +79,21 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op4_token_counts")
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(_table(spark, sf, "documents"), TOKENIZER)
+
+
+@_query("op5_minimax_shards")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return minimax_shards(_table(spark, sf, "documents"), 8).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op7_simhash")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_likeness(_table(spark, sf, "documents"))
+
+
+@_query("op9_language_id")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    found = langid.predict(docs, langid.train(docs, ~langid.held_out()))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
