@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import pathlib
 import tempfile
@@ -31,10 +32,17 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def stash(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read back: a cut of the lineage that survives lost executors."""
-    path = scratch_path(df.sparkSession, label)
+    """The rows written to the shared folder and read back: a cut of the lineage that survives lost executors.
+
+    Nothing reads the shuffles behind the rows any more, so the driver drops what refers to
+    them; Spark's cleaner then deletes their files instead of keeping them to the end of the job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,6 +11,8 @@ from haulmark.llm import langid
 from haulmark.llm.codec import encode_decode
 from haulmark.llm.counts import token_counts
 from haulmark.llm.idfile import read_ids, write_ids
+from haulmark.llm.labeller import extract
+from haulmark.llm.leaks import find_leaks
 from haulmark.llm.neardup import near_duplicates
 from haulmark.llm.shards import minimax_shards
 from haulmark.llm.simhash import edited_likeness
@@ -97,3 +99,13 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     found = langid.predict(docs, langid.train(docs, ~langid.held_out()))
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@_query("op8_main_text")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return extract(_table(spark, sf, "pages"))
+
+
+@_query("op10_benchmark_leaks")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
