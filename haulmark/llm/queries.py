@@ -14,6 +14,7 @@ from haulmark.llm.idfile import read_ids, write_ids
 from haulmark.llm.labeller import extract
 from haulmark.llm.leaks import find_leaks
 from haulmark.llm.neardup import near_duplicates
+from haulmark.llm.repeats import repeated_passages
 from haulmark.llm.shards import minimax_shards
 from haulmark.llm.simhash import edited_likeness
 from haulmark.session import scratch_path
@@ -109,3 +110,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 @_query("op10_benchmark_leaks")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return find_leaks(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+@_query("op6_repeated_passages")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf, "documents"))
