@@ -13,7 +13,6 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,20 +31,16 @@ class PieceCounter:
 
     def __init__(self, path: str):
         self.library = encoders.library_encoder(path)
-        self.known: dict[str, int] = {}
+        self.known = encoders.Memory()
 
     def lengths(self, parts: list[str]) -> list[int]:
-        if len(self.known) > encoders.REMEMBER:
-            self.known.clear()
         rows = [self.library.split.pieces(p) for p in parts]
-        missing = list(set(chain.from_iterable(rows)).difference(self.known))
+        missing = self.known.lacking(rows)
         for a in range(0, len(missing), 4096):
             some = missing[a:a + 4096]
             self.known.update(zip(some, map(len, self.library.library.encode_batch_fast(some, add_special_tokens=False))))
         out = [sum(map(self.known.__getitem__, row)) for row in rows]
-        for p in missing:
-            if len(p) > encoders.LONG:
-                del self.known[p]
+        self.known.forget_long(missing)
         return out
 
 

@@ -1,13 +1,16 @@
 """Token ids of texts: with the tokenizers library, or by merges of its own (see ``merges``).
 
-Both encode each distinct piece of a text once and remember it; the memory is emptied when
-it holds ``REMEMBER`` pieces, which changes no result.
+Both encode a distinct piece of a text once and remember it. What is remembered has two ages of
+``REMEMBER`` pieces each: when the younger one is full it becomes the older one, and what is
+used again gets younger, so frequent pieces stay. This changes no result.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+import sys
+from array import array
 from collections.abc import Iterable
 from itertools import chain
 
@@ -15,35 +18,63 @@ import numpy as np
 
 from haulmark.llm.pretoken import Splitter
 
-REMEMBER = 400_000
+REMEMBER = 1 << 18
 #: Pieces longer than this are not remembered.
 LONG = 64
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+def _little(ids: list[int]) -> bytes:
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
+
+
+class Memory(dict):
+    """What is known of pieces."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.older: dict = {}
+
+    def lacking(self, rows: list[list[str]]) -> list[str]:
+        """Distinct pieces of the rows that nothing is known of; the known ones can be looked up."""
+        if len(self) > REMEMBER:
+            self.older = dict(self)
+            self.clear()
+        lacking = set(chain.from_iterable(rows)).difference(self)
+        if self.older:
+            again = lacking.intersection(self.older)
+            self.update({p: self.older[p] for p in again})
+            lacking -= again
+        return list(lacking)
+
+    def forget_long(self, pieces: list[str]) -> None:
+        for p in pieces:
+            if len(p) > LONG:
+                del self[p]
+
+
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit values one after the other."""
 
     def __init__(self, path: str):
         self.split = Splitter(path)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory()
 
     def new_ids(self, pieces: list[str]) -> Iterable[bytes]:
         raise NotImplementedError
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each text begins (one more at the end)."""
-        if len(self.known) > REMEMBER:
-            self.known.clear()
         pieces = [self.split.pieces(t) for t in texts]
         known = self.known
-        missing = list(set(chain.from_iterable(pieces)).difference(known))
+        missing = known.lacking(pieces)
         known.update(zip(missing, self.new_ids(missing)))
         coded = [b"".join(map(known.__getitem__, row)) for row in pieces]
-        for p in missing:
-            if len(p) > LONG:
-                del known[p]
+        known.forget_long(missing)
         counts = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         return np.frombuffer(b"".join(coded), "<u4"), np.concatenate([[0], np.cumsum(counts)])
 
@@ -61,7 +92,7 @@ class LibraryEncoder(Encoder):
     def new_ids(self, pieces: list[str]) -> Iterable[bytes]:
         for a in range(0, len(pieces), 4096):
             for e in self.library.encode_batch_fast(pieces[a:a + 4096], add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
+                yield _little(e.ids)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.split.fits:

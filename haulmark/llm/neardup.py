@@ -170,3 +170,9 @@ def _rest(met: DataFrame, percent: int) -> DataFrame:
     common = F.col("nh") - F.col("m") - F.col("m2") + F.size(F.array_intersect("diff", "diff2"))
     both = F.lit(100) * common >= F.lit(percent) * (F.col("nx") + F.col("ny") - common)
     return pairs.join(facts, ["hub", "x"]).join(other, ["hub", "y"]).where(both).select("x", "y")
+
+
+def without_duplicates(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose group keeps them; rows with a null id stay."""
+    gone = groups.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti")

@@ -18,10 +18,24 @@ import regex
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 _SPLIT = regex.compile(PATTERN)
-_ASCII = re.compile(PATTERN.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9").replace(" ?A-Za-z+", " ?[A-Za-z]+")
-                    .replace(" ?0-9+", " ?[0-9]+"), re.ASCII)
-_CONTROL = re.compile("[\x1c-\x1f]")
-_LATIN = re.compile("[^\0-ԯ]")
+#: Up to this code point (Latin, Greek, Cyrillic) all libraries agree on what is a letter, digit or white space.
+_AGREED = 0x52F
+
+
+def _classes() -> tuple[str, str, str]:
+    """Character sets up to ``_AGREED`` for letters, numbers and white space."""
+    sets = {"L": "", "N": "", "white": "\\t-\\r"}
+    for c in map(chr, range(0x20, _AGREED + 1)):
+        kind = "white" if c in " \x85\xa0" else unicodedata.category(c)[0]
+        if kind in sets:
+            sets[kind] += c
+    return sets["L"], sets["N"], sets["white"]
+
+
+_L, _N, _S = _classes()
+#: The same pattern with plain sets, for the standard library, which is faster.
+_NEAR = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_FAR = re.compile(f"[^\0-{chr(_AGREED)}]")
 
 
 @functools.cache
@@ -61,9 +75,9 @@ class Splitter:
         return Tokenizer.from_file(self._path).pre_tokenizer
 
     def _plain(self, text: str) -> list[str]:
-        if text.isascii() and not _CONTROL.search(text):
-            return _ASCII.findall(text)
-        if _LATIN.search(text) and _unassigned().search(text):
+        if text.isascii() or not _FAR.search(text):
+            return _NEAR.findall(text)
+        if _unassigned().search(text):
             return [text[a:b] for _, (a, b) in self._library.pre_tokenize_str(text)]
         return _SPLIT.findall(text)
 
