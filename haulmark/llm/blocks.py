@@ -100,6 +100,9 @@ def blocks_of(html: str | None) -> list[Block]:
     """All blocks with text of a page, in page order; none of a null or empty one. Broken markup is read as far as it goes."""
     if not html:
         return []
+    cut = html.rfind("<")
+    if cut >= 0 and html.find(">", cut) < 0 and re.match(r"[a-zA-Z/!?]", html[cut + 1:cut + 2]):
+        html = html[:cut]  # the page ends inside a tag
     reader = _Reader()
     reader.feed(html)
     reader.close()

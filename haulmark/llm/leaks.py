@@ -1,7 +1,8 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 1. One pass counts in how many documents each word n-gram of the benchmark occurs; only the
-   counts of these n-grams leave the tasks. The rarer half of an item's n-grams are its seeds.
+   counts of these n-grams leave the tasks. The rarer half of an item's n-grams,
+   ``SEEDS`` at least, are its seeds.
    The choice is by rank within the item, so an item that is copied very often has seeds like any other.
 2. A second pass finds the seeds in the documents by joining on their hashes. Seeds of one
    item that hit a document on diagonals near each other mark a passage, which is aligned with the whole item.
@@ -23,6 +24,8 @@ from haulmark.llm import words as W
 from haulmark.llm.common import each, id_text, ship
 
 GRAM = 3
+#: An item has at least so many seeds, if it has so many n-grams.
+SEEDS = 16
 ITEM_WORDS = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A pair is a leak if the alignment has this share of the score of a full copy of the item.
@@ -222,7 +225,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = SCORE, id_c
         for w in words:
             n = total[np.searchsorted(everything.grams, _gram_of(w))]
             rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")
-            chosen.append(rank < max(4, (len(n) + 1) // 2))
+            chosen.append(rank < max(SEEDS, (len(n) + 1) // 2))
         seeds = items_of(ids, words, chosen)
         out = out.unionByName(texts.mapInArrow(_leaks(spark.sparkContext.broadcast(seeds), least),
                                                "doc_id long, item_id long, score double, first_word long, last_word long, seeds int"))
