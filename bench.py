@@ -6,6 +6,8 @@ BENCH_RUNS     timed runs per query after one warm-up, the median counts (defaul
 BENCH_QUERIES  comma-separated names, or "all" (default: the headline queries)
 
 Results go to Spark's ``noop`` sink: every row and column is produced, none is kept.
+The tables are single files of one row group, which one task would read; before the clock starts
+they are copied to a temporary folder as ``BENCH_CPUS`` files each, as larger tables are stored.
 """
 
 from __future__ import annotations
@@ -14,9 +16,11 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from haulmark import catalog
+from haulmark.catalog.q_sources import TABLES
 from haulmark.session import build_session
 
 
@@ -40,15 +44,18 @@ def main() -> None:
     names = list(queries) if wanted == "all" else [n for n in wanted.split(",") if n] or list(HEADLINE)
     spark = build_session("haulmark-bench", f"local[{cpus}]", **{
         "spark.ui.enabled": "false", "spark.driver.memory": "16g",
-        "spark.sql.shuffle.partitions": cpus})
+        "spark.sql.shuffle.partitions": cpus, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="haulmark-bench-")})
     spark.sparkContext.setLogLevel("ERROR")
+    split = tempfile.mkdtemp(prefix="haulmark-bench-")
+    for table in TABLES:
+        spark.read.parquet(f"{folder}/{table}.parquet").repartition(int(cpus)).write.parquet(f"{split}/{table}.parquet")
     seconds: dict[str, float] = {}
     for name in names:
         print(f"# {name}", file=sys.stderr, flush=True)
         timed = []
         for _ in range(runs + 1):
             start = time.perf_counter()
-            queries[name](spark, folder).write.format("noop").mode("overwrite").save()
+            queries[name](spark, split).write.format("noop").mode("overwrite").save()
             timed.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(timed[1:]), 4)
         print(f"#   {seconds[name]}", file=sys.stderr, flush=True)

@@ -134,16 +134,15 @@ def ingest_routes(spark, sf):
 
 
 @QUERIES.add("ingest_routes_tagged", f"""WITH {_ROUTE_ROWS}
-SELECT line, CAST(participant_index AS INTEGER) AS helper_index, coalesce(helper_tag, delivery_service_type) AS delivery_service_type
+SELECT line, CASE WHEN is_helper = 1 THEN route_code || '(' || CAST(helper_no AS BIGINT) || ')' ELSE route_code END AS route_code,
+  transporter_id, driver_name, coalesce(helper_tag, delivery_service_type) AS delivery_service_type
 FROM counted""")
 def ingest_routes_tagged(spark, sf):
     """Routes with Rescue and Sweeper tags in place of the helpers' service type."""
-    from haulmark.operators.reshape import classify_helpers, explode_participants
     raw = raw_frame(table(spark, sf, "orders"), ROUTES)
-    typed = S.apply_spec(S.ROUTES, raw, carry=("file", "line"))
-    rows = classify_helpers(explode_participants(typed), ["file"])
-    return rows.select("line", F.col("participant_index").alias("helper_index"),
-                       F.coalesce("helper_tag", "delivery_service_type").alias("delivery_service_type"))
+    snapshot = F.lit("2025-09-04 14:11:00").cast("timestamp_ntz")
+    rows = I.ingest_routes(raw, snapshot, ["file"], ["line"], helper_tags=True, carry=("line",))
+    return rows.select("line", "route_code", "transporter_id", "driver_name", "delivery_service_type")
 
 
 # I3, I4 itineraries -----------------------------------------------------------
@@ -263,52 +262,50 @@ _pipeline("ingest_fleet", "part", FLEET, _FLEET_ORACLE, lambda raw: I.ingest_tab
 # I7, I8 overview matrices -------------------------------------------------------
 # One matrix row per (event type, user): activity per day or week as messy text.
 
-_DAYS = [f"2024-01-{n:02d}" for n in range(1, 32)]
-_WEEKS = {f"2024-W{n:02d}": (7 * n - 6, 7 * n) for n in range(1, 5)}
+# The label of an event's column, for Spark and for DuckDB.
+DAY = ("CAST(CAST(ts AS date) AS string)", "CAST(CAST(ts AS DATE) AS VARCHAR)")
+WEEK = ("concat(extract(YEAROFWEEK FROM ts), '-W', lpad(CAST(weekofyear(ts) AS string), 2, '0'))", "strftime(ts, '%G-W%V')")
 
 
-def matrix(spark, sf, labels: Mapping[str, str]) -> DataFrame:
-    """Events as a matrix: the first column is the metric, the others one label each."""
-    events = table(spark, sf, "events")
+def matrix(spark, sf, label: tuple[str, str]) -> DataFrame:
+    """All events as a matrix: the first column is the metric, the others one label of the data each."""
+    events = table(spark, sf, "events").filter("ts IS NOT NULL").withColumn("label", F.expr(label[0]))
+    # the days or weeks of the calendar that the table spans
+    labels = [r.label for r in events.select("label").distinct().orderBy("label").collect()]
     metric = F.concat_ws(" ", F.lit(""), "event_type", F.col("user_id").cast("string"))
     counts = events.groupBy(metric.alias("Metric")).agg(*[
-        F.count(F.when(F.expr(test), 1)).alias(label) for label, test in labels.items()])
+        F.count(F.when(F.col("label") == x, 1)).alias(x) for x in labels])
     return counts.select("Metric", *[
         F.when(F.col(f"`{x}`") % 3 == 2, F.concat(F.col(f"`{x}`").cast("string"), F.lit("%%")))
         .when(F.col(f"`{x}`") == 0, " ")
         .otherwise(F.concat(F.lit("1,00"), F.col(f"`{x}`").cast("string"))).alias(x) for x in labels])
 
 
-DAY_TESTS = {x: f"CAST(ts AS date) = DATE '{x}'" for x in _DAYS}
-WEEK_TESTS = {x: f"day(ts) BETWEEN {a} AND {b}" for x, (a, b) in _WEEKS.items()}
 _CELL = ("CASE WHEN n % 3 = 2 THEN CAST(n AS DOUBLE) WHEN n = 0 THEN NULL "
          "ELSE CAST('100' || CAST(n AS VARCHAR) AS DOUBLE) END")
 
 
-def matrix_sql(labels: Mapping[str, str]) -> str:
+def matrix_sql(label: tuple[str, str]) -> str:
     """The matrix in long form: one row per metric and label."""
-    tests = ", ".join(f"('{x}')" for x in labels)
-    match = " OR ".join(f"(label = '{x}' AND {test})" for x, test in labels.items())
-    return (f"metrics AS (SELECT DISTINCT event_type || ' ' || user_id AS metric_name FROM events), "
-            f"labels(label) AS (VALUES {tests}), "
-            f"hits AS (SELECT event_type || ' ' || user_id AS metric_name, label, count(*) AS n "
-            f"FROM events JOIN labels ON {match} GROUP BY ALL), "
+    return (f"hits AS (SELECT event_type || ' ' || user_id AS metric_name, {label[1]} AS label, count(*) AS n "
+            f"FROM events WHERE ts IS NOT NULL GROUP BY ALL), "
+            f"metrics AS (SELECT DISTINCT metric_name FROM hits), labels AS (SELECT DISTINCT label FROM hits), "
             f"cells AS (SELECT metric_name, label, {_CELL} AS metric_value FROM "
             f"(SELECT m.metric_name, l.label, coalesce(h.n, 0) AS n FROM metrics m CROSS JOIN labels l "
             f"LEFT JOIN hits h ON h.metric_name = m.metric_name AND h.label = l.label))")
 
 
-@QUERIES.add("ingest_daily_overview", f"""WITH {matrix_sql(DAY_TESTS)}
+@QUERIES.add("ingest_daily_overview", f"""WITH {matrix_sql(DAY)}
 SELECT CAST(label AS DATE) AS metric_date, metric_name, metric_value, 'DailyOverview' AS source_note FROM cells""")
 def ingest_daily_overview(spark, sf):
-    return plain(I.ingest_daily_overview(melt_matrix(matrix(spark, sf, DAY_TESTS))))
+    return plain(I.ingest_daily_overview(melt_matrix(matrix(spark, sf, DAY))))
 
 
-@QUERIES.add("ingest_weekly_overview", f"""WITH {matrix_sql(WEEK_TESTS)}
-SELECT 2024 AS year, CAST(right(label, 2) AS INTEGER) AS week, metric_name, metric_value,
+@QUERIES.add("ingest_weekly_overview", f"""WITH {matrix_sql(WEEK)}
+SELECT CAST(left(label, 4) AS INTEGER) AS year, CAST(right(label, 2) AS INTEGER) AS week, metric_name, metric_value,
   'WeeklyOverview' AS source_note FROM cells""")
 def ingest_weekly_overview(spark, sf):
-    cells = melt_matrix(matrix(spark, sf, WEEK_TESTS)).withColumn("file", F.length("metric") % 5)
+    cells = melt_matrix(matrix(spark, sf, WEEK)).withColumn("file", F.length("metric") % 5)
     existing = spark.createDataFrame([], S.WEEKLY_OVERVIEW.schema())
     return plain(I.ingest_weekly_overview(cells, existing, 2030, ["file"]))
 

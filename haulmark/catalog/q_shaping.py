@@ -8,7 +8,7 @@ from haulmark import functions as H
 from haulmark.catalog import duck as D
 from haulmark.catalog.base import Registry, as_text, blotted, plain, raw_frame, raw_sql, table
 from haulmark.catalog.q_ingest import (
-    DAY_TESTS, ROUTES, SERVICE, WEEK_TESTS, _ROUTE_ROWS, matrix, matrix_sql,
+    DAY, ROUTES, SERVICE, WEEK, _ROUTE_ROWS, matrix, matrix_sql,
 )
 from haulmark.operators.checks import drop_null_keys, failed_checks, fk_orphans, not_blank
 from haulmark.operators.reshape import (
@@ -53,16 +53,16 @@ def q_classify(spark, sf):
         "file", "line", "participant_index", "driver_name", "helper_tag")
 
 
-@QUERIES.add("unpivot_daily", f"""WITH {matrix_sql(DAY_TESTS)}
+@QUERIES.add("unpivot_daily", f"""WITH {matrix_sql(DAY)}
 SELECT CAST(label AS DATE) AS metric_date, metric_name, metric_value FROM cells""")
 def q_daily(spark, sf):
-    return unpivot_daily(matrix(spark, sf, DAY_TESTS))
+    return unpivot_daily(matrix(spark, sf, DAY))
 
 
-@QUERIES.add("unpivot_weekly", f"""WITH {matrix_sql(WEEK_TESTS)}
+@QUERIES.add("unpivot_weekly", f"""WITH {matrix_sql(WEEK)}
 SELECT label AS iso_year_week, CAST(right(label, 2) AS INTEGER) AS week, metric_name, metric_value FROM cells""")
 def q_weekly(spark, sf):
-    return unpivot_weekly(matrix(spark, sf, WEEK_TESTS))
+    return unpivot_weekly(matrix(spark, sf, WEEK))
 
 
 # Labels of four files: all with a year, some without, none, and a year in the name.

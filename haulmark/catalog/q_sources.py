@@ -51,8 +51,8 @@ _ROUTES_SQL = """CASE
   WHEN regexp_matches(lower(file_name), '^dsp_overview_dashboard_.*\\.csv$') THEN 'weekly_scorecard'
   WHEN regexp_matches(lower(file_name), '^itineraries_.*\\.(csv|xlsx|xlsm|xls)$') THEN 'itineraries'
   WHEN regexp_matches(lower(file_name), '^safety_dashboard.*\\.csv$') THEN 'safety_events'
-  WHEN lower(file_name) IN ('vehiclesdata.xlsx', 'fleet.xlsx')
-    OR regexp_matches(lower(file_name), 'vehiclesdata.*\\.(xlsx|xlsm|xls)$') THEN 'fleet_vehicles'
+  WHEN lower(file_name) IN ('vehiclesdata.xlsx', 'fleet.xlsx', 'fleet.csv')
+    OR regexp_matches(lower(file_name), 'vehiclesdata.*\\.(csv|xlsx|xlsm|xls)$') THEN 'fleet_vehicles'
   WHEN regexp_matches(lower(file_name), '^dsp_delivery_overview_all_.*\\.csv$') THEN
     CASE WHEN contains(lower(file_name), '-w') THEN 'weekly_overview' ELSE 'daily_overview' END
   WHEN regexp_matches(lower(file_name), '^dsp_associates_concessions_dsw3.*\\.csv$')

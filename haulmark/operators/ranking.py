@@ -10,7 +10,6 @@ cutting a key into ordered slices.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -43,54 +42,43 @@ def slice_ordinal(df: DataFrame, keys: Sequence[str], slices: Mapping[str, Colum
 
     ``slices`` are leading order columns, coarse to fine; the finest one must
     bound the rows of one slice (for example a block of arrival numbers). Rows
-    per slice are counted with map-side aggregation, running totals of those
-    counts give each slice its offset, and only a slice is sorted. ``order``
-    sorts the rows inside a slice. Keys and slices must not be null. ``total``
-    names an extra column with the rows of the whole key.
+    per slice are counted with map-side aggregation, and a running total over the
+    counts, a row per key and slice, gives each slice its offset. Only a slice is sorted, by
+    ``order``. Null keys form one key and null slices come first. ``total``
+    names an extra column with the rows of the whole key. The input is read twice:
+    once for the counts and once for the rows.
     """
     names = list(slices)
     work = df.withColumns(dict(slices))
-    by_slice = work.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = by_slice
-    parts = []
-    for depth, name in enumerate(names):
-        level = [*keys, *names[: depth + 1]]
-        if depth + 1 < len(names):
-            counts = by_slice.groupBy(*level).agg(F.sum("__n").alias("__m"))
-        else:
-            counts = by_slice.withColumnRenamed("__n", "__m")
-        before = (
-            Window.partitionBy(*level[:-1]).orderBy(name)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        part = f"__offset{depth}"
-        parts.append(part)
-        counts = counts.withColumn(part, F.coalesce(F.sum("__m").over(before), F.lit(0))).drop("__m")
-        offsets = counts if len(names) == 1 else offsets.join(counts, level)
-    if len(names) > 1:
-        offsets = offsets.drop("__n")
+    level = [*keys, *names]
+    counts = work.groupBy(*level).agg(F.count(F.lit(1)).alias("__n"))
+    running = Window.partitionBy(*keys).orderBy(*[F.col(n).asc_nulls_first() for n in names])
+    columns = {"__before": F.sum("__n").over(running) - F.col("__n")}
     if total:
-        offsets = offsets.join(
-            by_slice.groupBy(*keys).agg(F.sum("__n").alias(total)), list(keys))
-    offset = reduce(lambda a, b: a + b, [F.col(p) for p in parts])
-    offsets = offsets.withColumn("__before", offset).drop(*parts)
-    inside = Window.partitionBy(*keys, *names).orderBy(*order)
+        columns[total] = F.sum("__n").over(Window.partitionBy(*keys))
+    offsets = counts.withColumns(columns).select(
+        *[col(c).alias(f"__of_{i}") for i, c in enumerate(level)], "__before", *([total] if total else []))
+    same = [col(c).eqNullSafe(F.col(f"__of_{i}")) for i, c in enumerate(level)]
+    inside = Window.partitionBy(*level).orderBy(*order)
     return (
-        work.join(offsets, [*keys, *names])
+        work.join(offsets, same)
         .withColumn(out, F.col("__before") + F.row_number().over(inside))
-        .drop("__before", *[n for n in names if n not in df.columns])
+        .drop("__before", *[f"__of_{i}" for i in range(len(level))], *[n for n in names if n not in df.columns])
     )
 
 
 def slice_dense_rank(df: DataFrame, keys: Sequence[str], value: str, width: float,
                      out: str = "rank") -> DataFrame:
-    """``dense_rank`` of ``value`` per key, largest first.
+    """``dense_rank`` of ``value`` per key, largest first and null last.
 
-    Distinct values are numbered in slices ``width`` apart, then joined back.
-    ``value`` and the keys must not be null.
+    Distinct values are numbered in slices ``width`` apart, then joined back. Null
+    keys form one key.
     """
     distinct = df.select(*keys, value).distinct()
     ranked = slice_ordinal(
-        distinct, keys, {"__band": -F.floor(F.col(value) / F.lit(width))},
-        [F.col(value).desc()], out)
-    return df.join(ranked, [*keys, value])
+        distinct, keys, {"__none": col(value).isNull(), "__band": -F.floor(col(value) / F.lit(width))},
+        [col(value).desc_nulls_last()], out)
+    level = [*keys, value]
+    ranked = ranked.select(*[col(c).alias(f"__of_{i}") for i, c in enumerate(level)], out)
+    same = [col(c).eqNullSafe(F.col(f"__of_{i}")) for i, c in enumerate(level)]
+    return df.join(ranked, same).drop(*[f"__of_{i}" for i in range(len(level))])

@@ -146,16 +146,13 @@ def resolve_year(df: DataFrame, existing: DataFrame, this_year: int, scope: Sequ
     work = df.withColumn("__label_year", in_label)
     complete = work.groupBy(*scope).agg(
         F.every(F.col("__label_year").isNotNull()).alias("__complete"))
-    # Week numbers are limited to four digits, so the lookup has at most 10,000
-    # rows and may be broadcast whatever the size of the stored table.
-    by_week = (
-        existing.filter(F.col("week").between(0, 9999))
-        .groupBy("week").agg(F.max("year").alias("__week_year")))
+    # One row per stored week; Spark decides by its size whether to broadcast it.
+    by_week = existing.groupBy("week").agg(F.max("year").alias("__week_year"))
     latest = existing.agg(F.max("year")).scalar()
     own = col(file_year).cast("int") if file_year else F.lit(None).cast("int")
     return (
         work.join(complete, list(scope), "left")
-        .join(F.broadcast(by_week), "week", "left")
+        .join(by_week, "week", "left")
         .withColumn("year", F.coalesce(
             own, F.when(F.col("__complete"), F.col("__label_year")),
             F.col("__week_year"), latest, F.lit(this_year)))

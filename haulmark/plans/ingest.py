@@ -7,7 +7,6 @@ their file and row order (``haulmark.sources.exports.ORIGIN``); pass those names
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -54,20 +53,26 @@ def ingest_routes(raw: DataFrame, snapshot: Column, scope: Sequence[str],
 
 
 def ingest_itineraries(raw: DataFrame, file_datetime: Column, split_routes: bool = False,
-                       carry: Sequence[str] = ()) -> DataFrame:
-    """Itinerary snapshot rows; the route list stays whole unless ``split_routes``."""
-    typed = S.apply_spec(S.ITINERARIES, raw, {"file_datetime": file_datetime}, tuple(carry))
+                       carry: Sequence[str] = (), max_len: int = 200, strategy: str = "truncate") -> DataFrame:
+    """Itinerary snapshot rows; the route list stays whole unless ``split_routes``.
+
+    ``strategy`` says what happens to a list of more than ``max_len`` characters (see ``limit_length``).
+    """
+    spec = S.itineraries(max_len, strategy)
+    typed = S.apply_spec(spec, raw, {"file_datetime": file_datetime}, tuple(carry))
     return explode_list(typed, "route_code", "|") if split_routes else typed
 
 
-def ingest_backlog(raw: DataFrame, max_len: int = 32, carry: Sequence[str] = ()) -> DataFrame:
+def ingest_backlog(raw: DataFrame, max_len: int = 32, carry: Sequence[str] = (),
+                   strategy: str = "truncate") -> DataFrame:
     """Backlog itineraries, one row per route code, stamped 23:00 of their day.
 
-    The station follows from the list before it is split.
+    The station follows from the list before it is split. ``strategy`` says what happens to a
+    code of more than ``max_len`` characters.
     """
     typed = drop_null_keys(S.apply_spec(S.BACKLOG, raw, carry=tuple(carry)), ["transporter_id"])
     rows = explode_list(typed, "route_code")
-    return rows.withColumn("route_code", H.limit_length(col("route_code"), max_len))
+    return rows.withColumn("route_code", H.limit_length(col("route_code"), max_len, strategy, "route_code"))
 
 
 def ingest_table(spec: S.TableSpec, raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -112,9 +117,3 @@ def ingest_rates(raw: DataFrame, iso_year_week: str | Column) -> DataFrame:
     week = F.lit(iso_year_week) if isinstance(iso_year_week, str) else iso_year_week
     typed = S.apply_spec(S.RATES, raw, {"iso_year_week": week})
     return drop_null_keys(typed, ["station_code", "service_type", "revenue_rate"])
-
-
-def default_week(today: dt.date) -> str:
-    """ISO week label of a calendar day."""
-    year, week, _ = today.isocalendar()
-    return f"{year}-W{week:02d}"

@@ -1,7 +1,8 @@
 """End-to-end runs over files and catalog tables.
 
 Tables live in one database as Parquet tables named after their spec. Nothing is
-collected but the handful of table names a folder holds files for.
+collected but the handful of table names a folder holds files for. The typed rows of a
+table are staged once in the shared folder; the table, its rejects and the report read the stage.
 """
 
 from __future__ import annotations
@@ -13,16 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from haulmark import functions as H
 from haulmark.operators.changes import (
-    insert_ignore_dups, upsert_coalesce, upsert_overwrite, with_signature,
+    dedup_keep_last, insert_ignore_dups, upsert_coalesce, upsert_overwrite, with_signature,
 )
 from haulmark.operators.checks import split_valid
 from haulmark.operators.columns import col
 from haulmark.plans import ingest as I, revenue as R, specs as S, tenure as TN
 from haulmark.sources import exports as X
-from haulmark.sources.sinks import conform, ingest_report, replace_table, table_or_empty
+from haulmark.operators.headers import require_columns
+from haulmark.sources.routing import is_workbook
+from haulmark.sources.sinks import conform, ingest_report, replace_table, stage_rows, table_or_empty
 
-__all__ = ["ingest_directory", "ingest_backlog_file", "store_rows", "revenue_week",
-           "update_tenure", "table_schema"]
+__all__ = ["ingest_directory", "ingest_backlog_file", "store_rows", "revenue_week", "revenue_recent",
+           "update_tenure", "merge_tenure_report", "purge_duplicates", "table_schema"]
 
 _BUNDLE = (S.DELIVERED_PACKAGES, S.SERVICE_DETAILS, S.TRAINING, S.UNPLANNED_DELAY, S.WEEKLY_WORK)
 _MATRIX = ("daily_overview", "weekly_overview")
@@ -34,6 +37,13 @@ def table_schema(spec: S.TableSpec) -> T.StructType:
     return schema.add("row_sig", "string") if spec.signature else schema
 
 
+def _store_once(spark: SparkSession, name: str, rows: DataFrame) -> None:
+    """Add rows to a table that lacks them; equal rows count once, so a second run adds nothing."""
+    signed = rows.withColumn("row_sig", F.sha2(F.to_json(F.struct(*rows.columns)), 256))
+    fresh = insert_ignore_dups(table_or_empty(spark, name, signed.schema), signed, "row_sig", ["row_sig"])
+    fresh.write.mode("append").format("parquet").saveAsTable(name)
+
+
 def store_rows(spark: SparkSession, spec: S.TableSpec, rows: DataFrame, order: list[str],
                database: str) -> None:
     """Apply typed rows to a table in the mode of its spec.
@@ -44,8 +54,7 @@ def store_rows(spark: SparkSession, spec: S.TableSpec, rows: DataFrame, order: l
     schema = table_schema(spec)
     needed = [f.name for f in spec.fields if f.required]
     rows, rejected = split_valid(rows, {f"{c} missing": col(c).isNotNull() for c in needed})
-    rejected.select(*[col(c) for c in spec.schema().names], "failed").write.mode("append").format(
-        "parquet").saveAsTable(f"{name}_rejected")
+    _store_once(spark, f"{name}_rejected", rejected.select(*[col(c) for c in spec.schema().names], "failed"))
     target = table_or_empty(spark, name, schema)
     if spec.mode == "append":
         conform(rows.select(*schema.names), schema).write.mode("append").format("parquet").saveAsTable(name)
@@ -66,8 +75,8 @@ def store_rows(spark: SparkSession, spec: S.TableSpec, rows: DataFrame, order: l
 
 
 def _typed(spark: SparkSession, source: str, table: str, now: Column, this_year: int,
-           database: str, multi_line: bool) -> DataFrame:
-    """Typed rows of one table with their origin columns."""
+           database: str, multi_line: bool, options: dict) -> DataFrame:
+    """Typed rows of one table with their origin columns; ``options`` are those of its ingest function."""
     if table in _MATRIX:
         cells = X.read_matrix_cells(spark, source, table, multi_line=multi_line)
         if table == "daily_overview":
@@ -81,46 +90,57 @@ def _typed(spark: SparkSession, source: str, table: str, now: Column, this_year:
     if table == "associate":
         return I.ingest_people(raw, X.ORIGIN)
     if table == "routes":
-        return I.ingest_routes(raw, stamp, ["file_path"], X.ARRIVAL, carry=X.ORIGIN)
+        return I.ingest_routes(raw, stamp, ["file_path"], X.ARRIVAL, carry=X.ORIGIN, **options)
     if table == "itineraries":
-        return I.ingest_itineraries(raw, stamp, carry=X.ORIGIN)
+        return I.ingest_itineraries(raw, stamp, carry=X.ORIGIN, **options)
     return I.ingest_table(spec, raw, X.ORIGIN)
 
 
 def ingest_directory(spark: SparkSession, source: str, database: str, now: dt.datetime,
-                     multi_line: bool = True) -> DataFrame:
+                     multi_line: bool = True, options: dict[str, dict] | None = None) -> DataFrame:
     """Ingest every known file under ``source``; returns rows per file and table (lazy).
 
-    Files apply in path order, later rows win, and a second run changes nothing.
-    ``now`` stands in for file times that a name does not carry.
+    Files apply in path order, later rows win, and a second run changes nothing, but for tables
+    without a duplicate rule. ``now`` stands in for file times that a name does not carry. ``options``
+    holds, by table, keyword arguments of ``ingest_routes`` and ``ingest_itineraries``.
+    Workbooks are listed with no rows: saved as CSV under their name they are read. Rows with
+    text in cells without a header go to ``surplus_rows`` with their cells.
     """
     clock = F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz")
     files = X.list_files(spark, source)
-    present = {r.table for r in files.select("table").distinct().collect()}
+    unread = is_workbook(F.col("file_name"))
+    present = {r.table for r in files.filter(~unread).select("table").distinct().collect()}
     reports = []
     order = list(X.ORIGIN)
-    for table in [t for t in S.ALL_SPECS if t in present and t != "fleet_vehicles"]:
-        rows = _typed(spark, source, table, clock, now.year, database, multi_line)
+    for table in [t for t in S.ALL_SPECS if t in present]:
+        rows = stage_rows(_typed(spark, source, table, clock, now.year, database, multi_line,
+                                 (options or {}).get(table, {})), f"typed-{table}")
         store_rows(spark, S.ALL_SPECS[table], rows, order, database)
+        surplus = X.read_surplus_rows(spark, source, table, multi_line)
+        _store_once(spark, f"{database}.surplus_rows", surplus.select(F.lit(table).alias("table"), "file_path", "cells", "surplus"))
         reports.append(rows.select("file_name", F.lit(table).alias("table")))
     if "(bundle)" in present:
-        bundle = X.read_bundle_rows(spark, source)
+        bundle = stage_rows(X.read_bundle_rows(spark, source), "bundle")
         for spec in _BUNDLE:
             raw = X.bundle_table_rows(bundle, spec)
-            rows = S.apply_spec(spec, raw, carry=("file_path", "file_name", "member", "row_no"))
+            rows = stage_rows(S.apply_spec(spec, raw, carry=("file_path", "file_name", "member", "row_no")), f"typed-{spec.table}")
             store_rows(spark, spec, rows, ["file_path", "member", "row_no"], database)
+        beyond = bundle.filter("surplus is not null")
+        _store_once(spark, f"{database}.surplus_rows", beyond.select(
+            "table", F.concat_ws("/", "file_path", "member").alias("file_path"), F.map_values("cells").alias("cells"), "surplus"))
         reports.append(bundle.select("file_name", "table"))
-    other = files.filter(F.col("table").isin("(unmatched)", "fleet_vehicles")).select(
+    other = files.filter(unread | (F.col("table") == "(unmatched)")).select(
         "file_name", "table", F.lit(0).cast("bigint").alias("rows"))
     if not reports:
         return other
     return ingest_report(reduce(DataFrame.unionByName, reports)).unionByName(other)
 
 
-def ingest_backlog_file(spark: SparkSession, path: str, database: str) -> None:
+def ingest_backlog_file(spark: SparkSession, path: str, database: str, max_len: int = 32,
+                        strategy: str = "truncate") -> None:
     """Backlog itineraries from CSV into the itineraries table, stored rows first."""
     raw = X.read_table_rows(spark, path, S.BACKLOG)
-    rows = I.ingest_backlog(raw, carry=X.ORIGIN)
+    rows = I.ingest_backlog(raw, max_len, X.ORIGIN, strategy)
     spec = S.TableSpec(S.BACKLOG.table, {}, S.BACKLOG.fields, mode="ignore_dups",
                        signature=S.BACKLOG.signature)
     names = table_schema(S.ITINERARIES).names
@@ -139,17 +159,26 @@ def revenue_week(spark: SparkSession, rates: DataFrame, week: str, database: str
     ``rates`` is the raw rate sheet in row order column ``line``.
     """
     name = f"{database}.revenue_rate"
+    require_columns(rates, ["Station", "Service_type", "Billable hours", "revenue_rate"])
     typed = S.apply_spec(S.RATES, rates, {"iso_year_week": F.lit(week)}, ("line",)).dropna()
     stored = table_or_empty(spark, name, S.RATES.schema())
     replace_table(spark, R.upsert_rates(stored, typed, ["line"]), name)
-    if not rebuild:
-        return
-    sunday = monday + dt.timedelta(days=6)
+    if rebuild:
+        _rebuild_log(spark, database, monday, monday + dt.timedelta(days=6))
+
+
+def revenue_recent(spark: SparkSession, database: str, today: dt.date, days: int = 14) -> None:
+    """Rebuild the revenue log of the last ``days`` days, ``today`` included, at the stored rates."""
+    _rebuild_log(spark, database, *R.default_window(today, days))
+
+
+def _rebuild_log(spark: SparkSession, database: str, first: dt.date, last: dt.date) -> None:
     sources = [table_or_empty(spark, f"{database}.{s.table}", table_schema(s)) for s in (
         S.SERVICE_DETAILS, S.WEEKLY_WORK, S.DELIVERED_PACKAGES, S.TRAINING)]
-    fresh = R.build_revenue_log(*sources, spark.table(name), monday, sunday)
+    rates = table_or_empty(spark, f"{database}.revenue_rate", S.RATES.schema())
+    fresh = R.build_revenue_log(*sources, rates, first, last)
     log = table_or_empty(spark, f"{database}.revenue_log", fresh.schema)
-    replace_table(spark, R.rebuild_revenue_log(log, fresh, monday, sunday), f"{database}.revenue_log")
+    replace_table(spark, R.rebuild_revenue_log(log, fresh, first, last), f"{database}.revenue_log")
 
 
 _STAFF = ("transporter_id string, full_name string, tenured_date date, tenured_source string, "
@@ -164,3 +193,18 @@ def update_tenure(spark: SparkSession, database: str) -> None:
     service = table_or_empty(spark, f"{database}.wst_service_details", table_schema(S.SERVICE_DETAILS))
     people = table_or_empty(spark, f"{database}.associate", table_schema(S.PEOPLE))
     replace_table(spark, TN.tenure_from_service(service, people, target), name)
+
+
+def merge_tenure_report(spark: SparkSession, database: str, updated: dt.datetime) -> None:
+    """Merge the stored external tenure report into the tenure table."""
+    name = f"{database}.tenured_workforce"
+    target = table_or_empty(spark, name, T.StructType.fromDDL(_STAFF))
+    report = table_or_empty(spark, f"{database}.{S.TENURE_REPORT.table}", table_schema(S.TENURE_REPORT))
+    stamp = F.lit(updated.isoformat(sep=" ")).cast("timestamp_ntz")
+    replace_table(spark, TN.tenure_merge(target, report, stamp), name)
+
+
+def purge_duplicates(spark: SparkSession, spec: S.TableSpec, database: str, order: list[str]) -> None:
+    """Keep, of the stored rows with one key, the last by ``order``; null key parts are equal."""
+    name = f"{database}.{spec.table}"
+    replace_table(spark, dedup_keep_last(spark.table(name), list(spec.key), order), name)

@@ -133,19 +133,21 @@ def projected_score(metrics: DataFrame, rules: DataFrame, unit: Sequence[str],
                     flags: DataFrame | None = None, active_only: bool = False) -> DataFrame:
     """Weighted score of 0 to 100 per unit from long metric rows (unit, metric_code, metric_value).
 
-    A contract breach or failed compliance scores 0. Any null metric makes the
-    score null. Inactive metrics add to the points but not to the weights unless
+    A contract breach or failed compliance scores 0. A null metric, or one of the
+    policy that the unit has no row of, makes the score null. Inactive metrics add to the points but not to the weights unless
     ``active_only``. The thirteen rows of a unit collapse on the map side, so the
     shuffle moves one row per unit and task.
     """
-    scored = metric_scores(metrics, rules)
     if active_only:
-        scored = scored.filter(F.col("is_active"))
+        rules = rules.filter(F.col("is_active"))
+    scored = metric_scores(metrics, rules)
+    codes = rules.agg(F.count_distinct("metric_code")).scalar()
     weight = F.col("weight_overall_pct")
     sums = scored.groupBy(*[col(c) for c in unit]).agg(
         F.sum(weight * F.col("metric_score")).alias("__points"),
         F.sum(F.when(F.col("is_active"), weight).otherwise(0)).alias("__weights"),
-        F.every(F.col("metric_score").isNotNull()).alias("__whole"))
+        # at most as many codes as the policy has rows
+        (F.every(F.col("metric_score").isNotNull()) & (F.size(F.collect_set("metric_code")) == codes)).alias("__whole"))
     if flags is None:
         breach, compliant = F.lit(0), F.lit(1)
     else:

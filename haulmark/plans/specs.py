@@ -108,10 +108,6 @@ def identifier(name: str, separators: str = "|") -> Field:
     return Field(name, lambda c: H.normalize_id(c, separators=separators), "string", required=True)
 
 
-def _same(*names: str) -> dict[str, str]:
-    return {n: n for n in names}
-
-
 # --- specs -------------------------------------------------------------------
 # The headers, column names and precisions below are fixed values of the data model.
 
@@ -195,15 +191,21 @@ def _itinerary_fields(separators: str, route: Field) -> tuple[Field, ...]:
 _ITINERARY_SIGNATURE = {
     "file_datetime": H.time_text, "transporter_id": H.key_text, "route_code": H.key_text}
 
-ITINERARIES = TableSpec(
-    "itineraries",
-    {**_ITINERARY_HEADERS, "app sign in:": "app_sign_in_time", "app sign out:": "app_sign_out_time"},
-    _itinerary_fields("|", Field(
-        "route_code", lambda c: H.limit_length(H.null_like(c), 200, "truncate", "route_code"), "string")),
-    key=("file_datetime", "transporter_id", "route_code"), mode="overwrite",
-    null_safe=("route_code",), signature=_ITINERARY_SIGNATURE,
-    context={"file_datetime": "timestamp_ntz"},
-)
+
+def itineraries(max_len: int = 200, strategy: str = "truncate") -> TableSpec:
+    """The itinerary table, with the limit of its route list and what happens past it."""
+    return TableSpec(
+        "itineraries",
+        {**_ITINERARY_HEADERS, "app sign in:": "app_sign_in_time", "app sign out:": "app_sign_out_time"},
+        _itinerary_fields("|", Field(
+            "route_code", lambda c: H.limit_length(H.null_like(c), max_len, strategy, "route_code"), "string")),
+        key=("file_datetime", "transporter_id", "route_code"), mode="overwrite",
+        null_safe=("route_code",), signature=_ITINERARY_SIGNATURE,
+        context={"file_datetime": "timestamp_ntz"},
+    )
+
+
+ITINERARIES = itineraries()
 
 BACKLOG = TableSpec(
     "itineraries",

@@ -40,7 +40,7 @@ def service_with_people(service: DataFrame, people: DataFrame) -> DataFrame:
 def route_ordinal(rows: DataFrame, order: Sequence[Column], block: Column) -> DataFrame:
     """Number a person's routes by date, with the person's total.
 
-    ``rows`` comes from ``service_with_people`` and every row has a date.
+    ``rows`` comes from ``service_with_people``; rows without a date come first.
     ``block`` cuts one person's day into bounded pieces and must ascend with
     ``order``.
     """

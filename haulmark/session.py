@@ -59,14 +59,3 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never reused between runs."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores if it has fewer tasks than cores.
-
-    Parsing text is bound by the processor, and a file that cannot be split (one row
-    group, quoted line breaks) would be parsed by a single core. A scan with enough
-    splits, the normal case for large data, is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

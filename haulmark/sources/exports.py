@@ -23,7 +23,8 @@ from haulmark.plans.specs import TableSpec
 from haulmark.sources.routing import is_bundle, route_file, route_member
 
 __all__ = ["ORIGIN", "ARRIVAL", "scan_csv_strings", "list_files", "read_table_rows",
-           "read_matrix_cells", "read_bundle_rows", "bundle_table_rows"]
+           "read_matrix_cells", "read_surplus_rows", "read_bundle_rows",
+           "bundle_table_rows"]
 
 # Columns that say where a row came from, in row order.
 ORIGIN = ("file_path", "file_name", "split_start", "split_row")
@@ -56,25 +57,60 @@ def _decoded(name: str) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))).alias(name)
 
 
-def _rows(spark: SparkSession, path: str, table: str | None, width: int,
-          multi_line: bool) -> DataFrame:
-    """Rows as arrays of ``width`` text cells with their origin; headers are rows too."""
-    names = [f"c{i}" for i in range(width + 1)]
+# A quoted cell of a CSV line; a comma inside is no separator.
+_QUOTED = r'"([^"]|"")*"'
+# Separators and blank cells at the end of a line.
+_BLANK_END = r'([,\s]|(?<=,)"\s*")+$'
+
+
+def _source(spark: SparkSession, path: str, table: str | None, names: Sequence[str],
+            multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     frame = (
         spark.read.schema(schema).option("header", False).option("multiLine", multi_line)
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "line")
         .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
         .option("recursiveFileLookup", True).option("pathGlobFilter", "*.[cC][sS][vV]").csv(path))
-    if table:
-        # A filter on the file name alone skips the other files before reading.
-        frame = frame.filter(route_file(_decoded("file_name")) == table)
-    too_wide = F.raise_error(F.lit(f"a row has more than {width} columns; raise the width"))
-    last = F.when(col(names[-1]).isNotNull(), too_wide.cast("string")).otherwise(col(names[-2]))
+    # A filter on the file name alone skips the other files before reading.
+    return frame.filter(route_file(_decoded("file_name")) == table) if table else frame
+
+
+def _separators(line: Column) -> Column:
+    plain = F.regexp_replace(line, _QUOTED, "")
+    return F.length(plain) - F.length(F.replace(plain, F.lit(",")))
+
+
+def _width(spark: SparkSession, path: str, table: str | None, multi_line: bool) -> int:
+    """Cells of the widest header of the files; the driver gets this one number.
+
+    The reader is given one column, so it hands over a line with more cells as text.
+    """
+    lines = _source(spark, path, table, ["c0", "line"], multi_line).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"),
+        # the reader refuses to give the line alone, so a cell takes part
+        F.coalesce(_separators(F.col("line")), F.length("c0") * 0, F.lit(0)).alias("commas"))
+    heads = lines.filter("start = 0").groupBy("file").agg(F.min_by("commas", "n").alias("commas"))
+    return 1 + (heads.agg(F.max("commas")).first()[0] or 0)
+
+
+def _rows(spark: SparkSession, path: str, table: str | None, multi_line: bool) -> DataFrame:
+    """Rows as arrays of text cells with their origin; headers are rows too.
+
+    The arrays are as long as the widest header. ``beyond`` is the line of a row that has text in cells
+    past that, else null.
+    """
+    width = _width(spark, path, table, multi_line)
+    names = [f"c{i}" for i in range(width)]
+    # one column more: a line of exactly that many cells fits the schema, all others are handed over as text
+    frame = _source(spark, path, table, [*names, "over", "line"], multi_line)
+    past = _separators(F.regexp_replace("line", _BLANK_END, "")) + 1 > width
+    beyond = F.when(F.trim("over") != "", F.coalesce("line", "over")).when(past, F.col("line"))
     return frame.select(
         _decoded("file_path"), _decoded("file_name"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("split_row"),
-        F.array(*[col(n) for n in names[:-2]], last).alias("cells"))
+        F.array(*[col(n) for n in names]).alias("cells"), beyond.alias("beyond"))
 
 
 def _headers(rows: DataFrame) -> DataFrame:
@@ -86,28 +122,32 @@ def _headers(rows: DataFrame) -> DataFrame:
     unique = F.transform("names", lambda x, i: F.when(
         (x == "") | (F.array_position("names", x) == i + 1), x
     ).otherwise(F.concat(x, F.lit("."), i.cast("string"))))
-    return first.select("file_path", "header_row", "labels", unique.alias("names"))
+    last = F.array_max(F.transform("names", lambda x, i: F.when(x != "", i + 1).otherwise(0)))
+    return first.select("file_path", "header_row", "labels", unique.alias("names"), last.alias("columns"))
 
 
 def _data_rows(rows: DataFrame, headers: DataFrame) -> DataFrame:
+    """Rows beside their file's header, without the header rows; ``surplus`` are cells with text past the last header."""
     joined = rows.join(headers, "file_path")
     is_header = (F.col("split_start") == 0) & (F.col("split_row") == F.col("header_row"))
-    return joined.filter(~is_header)
+    extra = F.filter(F.slice("cells", F.col("columns") + 1, F.size("cells")), lambda x: F.trim(x) != "")
+    surplus = F.when(F.col("beyond").isNotNull(), F.array("beyond")).when(F.size(extra) > 0, extra)
+    return joined.filter(~is_header).withColumn("surplus", surplus)
 
 
 def read_table_rows(spark: SparkSession, path: str, spec: TableSpec, table: str | None = None,
-                    width: int = 64, multi_line: bool = True,
-                    extra: Sequence[str] = ()) -> DataFrame:
+                    multi_line: bool = True, extra: Sequence[str] = ()) -> DataFrame:
     """Origin columns and one text column per known header of ``spec``.
 
-    With ``table`` only the files routed to it are read. ``multi_line`` accepts
+    Files may have any width. A row with text in cells past its file's last header is left out
+    here and found by ``read_surplus_rows``. With ``table`` only the files routed to it are read. ``multi_line`` accepts
     line breaks inside quotes; set it to False for large files without any, which
     may then be split between tasks.
     """
-    rows = _rows(spark, path, table, width, multi_line)
+    rows = _rows(spark, path, table, multi_line)
     headers = _headers(rows)
     wanted = list(dict.fromkeys([*spec.aliases, *[f.source or f.name for f in spec.fields], *extra]))
-    spots = headers.select("file_path", "header_row", *[
+    spots = headers.select("file_path", "header_row", "columns", *[
         F.nullif(F.array_position("names", h), F.lit(0)).cast("int").alias(f"__at{i}")
         for i, h in enumerate(wanted)])
     if spec.date_column:
@@ -121,16 +161,19 @@ def read_table_rows(spark: SparkSession, path: str, spec: TableSpec, table: str
         where = wanted.index(spec.date_column)
         spots = spots.withColumn(
             f"__at{where}", F.coalesce(f"__at{where}", "__date_at")).drop("__date_at")
-    data = _data_rows(rows, spots)
+    data = _data_rows(rows, spots).filter("surplus is null")
     return data.select(*ORIGIN, *[
         F.get("cells", F.col(f"__at{i}") - 1).alias(h) for i, h in enumerate(wanted)])
 
 
 def read_matrix_cells(spark: SparkSession, path: str, table: str | None = None,
-                      width: int = 128, multi_line: bool = True) -> DataFrame:
-    """Matrix files as rows (origin, metric, label, cell), each with its own header."""
-    rows = _rows(spark, path, table, width, multi_line)
-    data = _data_rows(rows, _headers(rows))
+                      multi_line: bool = True) -> DataFrame:
+    """Matrix files of any width as rows (origin, metric, label, cell), each with its own header.
+
+    Rows with text past the last header are left out here and found by ``read_surplus_rows``.
+    """
+    rows = _rows(spark, path, table, multi_line)
+    data = _data_rows(rows, _headers(rows)).filter("surplus is null")
     cells = data.select(*ORIGIN, F.get("cells", F.lit(0)).alias("metric"), "labels",
                         F.posexplode("cells").alias("spot", "cell"))
     label = F.get("labels", F.col("spot"))
@@ -138,6 +181,13 @@ def read_matrix_cells(spark: SparkSession, path: str, table: str | None = None,
         *ORIGIN, "metric", label.alias("label"), "cell")
 
 
+def read_surplus_rows(spark: SparkSession, path: str, table: str | None = None,
+                      multi_line: bool = True) -> DataFrame:
+    """Rows (origin, cells, surplus) with text in cells that no header of their file stands over."""
+    rows = _rows(spark, path, table, multi_line)
+    return _data_rows(rows, _headers(rows)).filter("surplus is not null").select(*ORIGIN, "cells", "surplus")
+
+
 class _Members:
     """Rows of the CSV members of one archive, read member by member as a stream."""
 
@@ -146,7 +196,11 @@ class _Members:
 
 
 def archive_rows(content: bytes) -> Iterable[tuple]:
-    """(member, row number, {header: text}) for each data row of an archive."""
+    """(member, row number, {header: text}, surplus) for each data row of an archive.
+
+    Cells belong to headers from the left; of equal headers the first one counts.
+    ``surplus`` holds the cells beyond the last header, if any of them has text.
+    """
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         for member in archive.namelist():
             if not member.lower().endswith(".csv"):
@@ -155,8 +209,11 @@ def archive_rows(content: bytes) -> Iterable[tuple]:
                 reader = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
                 header = [h.strip().lower() for h in next(reader, [])]
                 for number, values in enumerate(v for v in reader if v):
-                    yield member, number, dict(zip(reversed(header), reversed(
-                        values + [None] * (len(header) - len(values)))))
+                    cells: dict[str, str | None] = {}
+                    for k, name in enumerate(header):
+                        cells.setdefault(name, values[k] if k < len(values) else None)
+                    beyond = values[len(header):]
+                    yield member, number, cells, beyond if any(v.strip() for v in beyond) else None
 
 
 def read_bundle_rows(spark: SparkSession, path: str) -> DataFrame:
@@ -170,17 +227,17 @@ def read_bundle_rows(spark: SparkSession, path: str) -> DataFrame:
         .option("pathGlobFilter", "*.[zZ][iI][pP]").load(path)
         .filter(is_bundle(_decoded("file_name")))
         .select(_decoded("file_path"), _decoded("file_name"), "content"))
-    members = F.udtf(_Members, returnType="member string, row_no bigint, cells map<string,string>")
+    members = F.udtf(_Members, returnType="member string, row_no bigint, cells map<string,string>, surplus array<string>")
     spark.udtf.register("haulmark_archive_rows", members)
     return spark.sql(
-        "SELECT f.file_path, f.file_name, m.member, m.row_no, m.cells "
+        "SELECT f.file_path, f.file_name, m.member, m.row_no, m.cells, m.surplus "
         "FROM {files} f, LATERAL haulmark_archive_rows(f.content) m", files=files,
     ).withColumn("table", route_member(F.col("member")))
 
 
 def bundle_table_rows(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """The bundle rows of one table with a text column per known header."""
+    """The bundle rows of one table with a text column per known header, without rows that have surplus cells."""
     wanted = dict.fromkeys([*spec.aliases, *[f.source or f.name for f in spec.fields]])
-    return rows.filter(F.col("table") == spec.table).select(
+    return rows.filter((F.col("table") == spec.table) & F.col("surplus").isNull()).select(
         "file_path", "file_name", "member", "row_no",
         *[F.try_element_at("cells", F.lit(h)).alias(h) for h in wanted])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-__all__ = ["UNMATCHED", "route_file", "route_member", "is_bundle"]
+__all__ = ["UNMATCHED", "is_workbook", "route_file", "route_member", "is_bundle"]
 
 UNMATCHED = "(unmatched)"
 
@@ -13,7 +13,10 @@ _WORKBOOKS = ("xlsx", "xlsm", "xls")
 
 
 def route_file(name: Column) -> Column:
-    """Table of a file; the first rule that matches wins and the order matters."""
+    """Table of a file; the first rule that matches wins and the order matters.
+
+    A workbook saved as CSV keeps its name and so its table.
+    """
     n = F.lower(name)
     csv = F.endswith(n, F.lit(".csv"))
     book = n.rlike(r"\.(" + "|".join(_WORKBOOKS) + r")$")
@@ -22,14 +25,15 @@ def route_file(name: Column) -> Column:
     def starts(prefix: str) -> Column:
         return F.startswith(n, F.lit(prefix))
 
+    # The names of the exports, in the order in which the rules apply.
     return (
         F.when(n == "associatedata.csv", "associate")
         .when(starts("routes_") & (csv | book), "routes")
         .when(starts("dsp_overview_dashboard_") & csv, "weekly_scorecard")
         .when(starts("itineraries_") & (csv | book), "itineraries")
         .when(starts("safety_dashboard") & csv, "safety_events")
-        .when(n.isin("vehiclesdata.xlsx", "fleet.xlsx")
-              | (F.contains(n, F.lit("vehiclesdata")) & book), "fleet_vehicles")
+        .when(n.isin("vehiclesdata.xlsx", "fleet.xlsx", "fleet.csv")
+              | (F.contains(n, F.lit("vehiclesdata")) & (book | csv)), "fleet_vehicles")
         .when(starts("dsp_delivery_overview_all_") & ~weekly & csv, "daily_overview")
         .when(starts("dsp_associates_concessions_dsw3") & csv & ~weekly, "daily_scorecard")
         .when(starts("station_level_metrics") & csv & ~weekly, "station_metrics_daily")
@@ -40,6 +44,11 @@ def route_file(name: Column) -> Column:
     )
 
 
+def is_workbook(name: Column) -> Column:
+    """Files that are listed in reports but not read; saved as CSV they are."""
+    return F.lower(name).rlike(r"\.(" + "|".join(_WORKBOOKS) + r")$")
+
+
 def is_bundle(name: Column) -> Column:
     """Archives of work reports are recognised by their name."""
     n = F.lower(name)

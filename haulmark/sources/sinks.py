@@ -9,8 +9,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from haulmark.operators.columns import col
+from haulmark.session import scratch_path
 
-__all__ = ["conform", "append_rows", "overwrite_partitions", "replace_table", "table_or_empty",
+__all__ = ["conform", "append_rows", "replace_table", "stage_rows", "table_or_empty",
            "table_inventory", "ingest_report"]
 
 
@@ -32,22 +33,31 @@ def append_rows(df: DataFrame, schema: T.StructType, path: str,
     writer.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: str) -> None:
-    """Replace only the partitions that ``df`` has rows for."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_by).parquet(path))
-
-
 def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Write ``df`` as a new catalog table, then put it in the place of ``name``.
+    """Write ``df`` as a new version of the table ``name`` and point the name at it.
 
-    ``df`` may read the table it replaces: nothing is dropped before the new
-    files are complete.
+    ``df`` may read the table it replaces. The name always has a complete version: it
+    moves from the old files to the new ones in one step, after which the old ones go.
     """
-    stage = f"{name}_stage_{uuid.uuid4().hex[:8]}"
-    df.write.format("parquet").saveAsTable(stage)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {stage} RENAME TO {name}")
+    database, _, table = name.rpartition(".")
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{home.rstrip('/')}/{table}_v{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+        return
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(detail["Location"])
+    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+
+
+def stage_rows(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder, for several readers."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:

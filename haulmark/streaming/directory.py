@@ -12,13 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from haulmark.operators.changes import insert_ignore_dups, with_signature
-from haulmark.session import scratch_path
 
 __all__ = ["ingest_new_files"]
 
 
+def _has_files(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 def ingest_new_files(spark: SparkSession, source: str, schema: T.StructType, target: str,
-                     parts: list[Column], order: list[str], checkpoint: str | None = None,
+                     parts: list[Column], order: list[str], checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame] | None = None,
                      file_format: str = "parquet", files_per_batch: int = 1000,
                      options: dict[str, str] | None = None) -> DataFrame:
@@ -26,12 +30,13 @@ def ingest_new_files(spark: SparkSession, source: str, schema: T.StructType, tar
 
     Returns the table after the run. ``parts`` form the row signature, ``order``
     decides which row of a batch counts as the first. Both address the frame
-    after ``transform``.
+    after ``transform``. ``checkpoint`` is the folder that remembers what was read; it must
+    be the same for every run.
     """
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoint")
     shape = transform or (lambda df: df)
     probe = with_signature(shape(spark.createDataFrame([], schema)), parts)
-    probe.write.mode("append").parquet(target)
+    if not _has_files(spark, target):
+        probe.write.mode("append").parquet(target)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         rows = with_signature(shape(batch), parts)

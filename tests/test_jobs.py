@@ -41,6 +41,9 @@ def folder(tmp_path_factory):
         "Date,Event ID,Date Time (PDT/PST),Metric Type,Transporter ID\n"
         "9/1/2025,5000000001,9/1/2025 2:05 PM,Speeding,T1\nbad,7,,Speeding,T1\n")
     put("notes.csv", "a\n1\n")
+    put("Fleet.csv", "VIN,Service Type,Status\nV1,Van,Active\n")
+    put("Routes_DSW3_2025-09-06.xlsx", "not read")
+    put("DA_Tenure_Workforce_DAs_Report.csv", "Transporter ID,Name,Year,Week\nT9,New N,2025,36\n")
 
     def member(rows):
         return "\n".join(rows) + "\n"
@@ -80,9 +83,30 @@ def test_rows_follow_each_files_own_header(spark, folder):
         ("CX1", "x|y", "SFNL"), ("CX2", "z", "SFNL"), ("CX1", "e|f", "SFNL"), ("CX9", "q", None)]
 
 
-def test_too_wide_rows_fail(spark, folder):
-    with pytest.raises(Exception, match="more than 3 columns"):
-        X.read_table_rows(spark, folder, S.ROUTES, "routes", width=3).collect()
+def test_files_of_any_width(spark, tmp_path):
+    days = [f"2024-{1 + k // 28:02d}-{1 + k % 28:02d}" for k in range(300)] + [f"2025-{1 + k // 28:02d}-{1 + k % 28:02d}" for k in range(100)]
+    lines = ["Metric," + ",".join(days)]
+    lines += [f"M{k}," + ",".join("" if j == k else str(j) for j in range(400)) for k in range(0, 400, 37)]
+    (tmp_path / "wide.csv").write_text("\n".join([*lines, "T,1,,,,", 'Q,"1,000",2', "S," + "1," * 400 + "9"]) + "\n")
+    (tmp_path / "narrow.csv").write_text('Metric,x,y\nA,1,2\nB,1,2,3\nC,1,2,,\nD,1,2,,"4,5"\n')
+    cells = X.read_matrix_cells(spark, str(tmp_path))
+    got = {(r.metric, r.label): r.cell for r in cells.filter("file_name = 'wide.csv'").collect()}
+    for k in range(0, 400, 37):
+        assert [got[f"M{k}", d] for d in days] == [None if j == k else str(j) for j in range(400)]
+    assert got["Q", days[0]] == "1,000" and got["T", days[0]] == "1" and ("S", days[0]) not in got
+    assert {r.metric for r in cells.filter("file_name = 'narrow.csv'").collect()} == {"A", "C"}
+    surplus = {(r.file_name, r.cells[0]): r.surplus for r in X.read_surplus_rows(spark, str(tmp_path)).collect()}
+    assert set(surplus) == {("wide.csv", "S"), ("narrow.csv", "B"), ("narrow.csv", "D")}
+    assert surplus["narrow.csv", "B"] == ["3"] and surplus["wide.csv", "S"][-1].endswith("9")
+
+
+def test_archive_rows_of_any_width():
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("a.csv", "Date,Station,Date\n2025-09-03,DSW3\n2025-09-03,DSW3,x,extra\n2025-09-03,DSW3,x,,\n")
+    got = [(cells, surplus) for _, _, cells, surplus in X.archive_rows(buffer.getvalue())]
+    assert got == [({"date": "2025-09-03", "station": "DSW3"}, None), ({"date": "2025-09-03", "station": "DSW3"}, ["extra"]),
+                   ({"date": "2025-09-03", "station": "DSW3"}, None)]
 
 
 def test_bundle_members(spark, folder):
@@ -104,7 +128,7 @@ def test_directory_run_is_complete_and_repeatable(spark, folder):
         state.append({
             t.name: sorted(map(str, spark.table(f"{db}.{t.name}").collect()))
             for t in spark.catalog.listTables(db)
-            if t.name in S.ALL_SPECS and S.ALL_SPECS[t.name].mode != "append"})
+            if t.name not in S.ALL_SPECS or S.ALL_SPECS[t.name].mode != "append"})
     assert state[0] == state[1] and len(state[0]) >= 10
 
     people = {r.transporter_id: r for r in spark.table(f"{db}.associate").collect()}
@@ -130,6 +154,8 @@ def test_directory_run_is_complete_and_repeatable(spark, folder):
     assert spark.table(f"{db}.wst_delivered_packages").first().package_count == 1200
     counts = {(r.file_name, r.table): r.rows for r in report.collect()}
     assert counts["notes.csv", "(unmatched)"] == 0
+    assert counts["Routes_DSW3_2025-09-06.xlsx", "routes"] == 0 and counts["Fleet.csv", "fleet_vehicles"] == 1
+    assert spark.table(f"{db}.fleet_vehicles").first().vin == "V1"
     assert counts["SFNL Weekly Report.zip", "wst_service_details"] == 32
 
     jobs.update_tenure(spark, db)
@@ -150,6 +176,19 @@ def test_directory_run_is_complete_and_repeatable(spark, folder):
     # Two runs appended the training and weekly report twice: they have no duplicate rule.
     assert total == {"10Hr Rt": 32 * 10 * 36.25, "Package": 120.0, "Amazon Cancellation": 800.0,
                      "Training Classes": 2 * 8 * 29.5}
+    before = sorted(map(str, log.collect()))
+    jobs.revenue_recent(spark, db, dt.date(2025, 9, 10))
+    assert sorted(map(str, spark.table(f"{db}.revenue_log").collect())) == before
+    with pytest.raises(ValueError):
+        jobs.revenue_week(spark, sheet.drop("revenue_rate"), "2025-W36", db, dt.date(2025, 9, 1))
+
+    jobs.merge_tenure_report(spark, db, NOW)
+    assert {s.transporter_id for s in spark.table(f"{db}.tenured_workforce").collect()} >= {"T1"}
+    twice = spark.table(f"{db}.safety_events")
+    twice.write.mode("append").format("parquet").saveAsTable(f"{db}.safety_events")
+    assert spark.table(f"{db}.safety_events").count() == 2
+    jobs.purge_duplicates(spark, S.SAFETY_EVENTS, db, list(S.SAFETY_EVENTS.schema().names))
+    assert spark.table(f"{db}.safety_events").count() == 1
 
 
 def test_backlog_file(spark, tmp_path):
