@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 _LANES = 0x0000000100000001
 
 
-def term_hashes(text: Column) -> Column:
-    """Hashes of the word pairs of a text (the last word pairs with nothing); empty without words."""
-    words = F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != "")
-    return F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
+def words_of(text: Column) -> Column:
+    """Lower-case runs without white space, of a text that has none at its ends."""
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(F.lower(text), r"\s+"))
+
+
+def _trimmed(text: Column) -> Column:
+    return F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
 
 
 def _votes(term: str) -> list[Column]:
@@ -42,17 +45,22 @@ def fingerprints(rows: DataFrame, keys: list[str], texts: dict[str, str]) -> Dat
     fingerprint 0; equal texts have equal ones.
     """
     names = list(texts)
-    hashed = rows.select(*keys, *[F.coalesce(term_hashes(F.col(c)), F.array().cast("array<long>")).alias(f"h{k}")
-                                  for k, c in enumerate(texts.values())])
-    # one pass over the terms of all texts of a row: a term's place tells whose it is
-    bounds = [F.size("h0")]
-    for k in range(1, len(names)):
-        bounds.append(bounds[-1] + F.size(f"h{k}"))
-    terms = hashed.select(*keys, *[b.alias(f"b{k}") for k, b in enumerate(bounds)], F.concat(*[f"h{k}" for k in range(len(names))]).alias("h"))
-    terms = terms.select(*keys, *[f"b{k}" for k in range(len(names))], F.posexplode_outer("h").alias("at", "term"))
+    n = range(len(names))
+    trimmed = rows.select(*keys, *[_trimmed(F.col(c)).alias(f"t{k}") for k, c in enumerate(texts.values())])
+    split = trimmed.select(*keys, *[words_of(F.col(f"t{k}")).alias(f"w{k}") for k in n])
+    # one pass over the words of all texts of a row: a word's place tells whose it is. The array stays
+    # beside its words, so a pair is hashed in generated code, without a function over arrays.
+    ends = [sum((F.size(f"w{j}") for j in range(1, k + 1)), F.size("w0")).alias(f"b{k}") for k in n]
+    terms = split.select(*keys, *ends, F.concat(*[f"w{k}" for k in n]).alias("w"))
+    terms = terms.select(*keys, *[f"b{k}" for k in n], "w", F.posexplode_outer("w").alias("at", "word"))
+    last = F.lit(False)
+    for k in n:
+        last = last | (F.col("at") + 1 == F.col(f"b{k}"))
+    after = F.when(~last, F.get("w", F.col("at") + 1))
     whose = F.lit(len(names) - 1)
     for k in reversed(range(len(names) - 1)):
         whose = F.when(F.col("at") < F.col(f"b{k}"), F.lit(k)).otherwise(whose)
+    terms = terms.withColumn("term", F.when(F.col("word").isNotNull(), F.xxhash64("word", after)))
     voted = terms.select(*keys, F.coalesce(whose, F.lit(0)).alias("whose"), "term").groupBy(*keys, "whose").agg(F.count("term").alias("n"), *_votes("term"))
     done = voted.select(*keys, "whose", _fingerprint(F.col("n")).alias("fp"))
     return done.groupBy(*keys).agg(*[F.coalesce(F.max(F.when(F.col("whose") == k, F.col("fp"))), F.lit(0).cast("long")).alias(n)
