@@ -47,12 +47,20 @@ def _require_keys(df: DataFrame, keys: Sequence[str], null_safe: Sequence[str])
 
 
 def _canonical(df: DataFrame, keys: Mapping[str, Column | None]) -> tuple[DataFrame, list[str]]:
-    """Add the compared form of each key before the join, so it stays an equi-join."""
-    extra = {f"__key_{k}": e for k, e in keys.items() if e is not None}
+    """Add the compared form of each key before the join, so it stays an equi-join; forms already there are kept."""
+    extra = {f"__key_{k}": e for k, e in keys.items() if e is not None and f"__key_{k}" not in df.columns}
     names = [f"__key_{k}" if e is not None else k for k, e in keys.items()]
     return df.withColumns(extra) if extra else df, names
 
 
+def _forms(keys: Sequence[str], null_safe: Sequence[str],
+           compare: Mapping[str, Column] | None) -> dict[str, Column | None]:
+    """The compared form of each key. One that may be null is wrapped: equal wraps of null are equal."""
+    forms = {k: (compare or {}).get(k) for k in keys}
+    return {k: F.struct((f if f is not None else col(k)).alias("value")) if k in null_safe else f
+            for k, f in forms.items()}
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
                on_match: Mapping[str, Column], on_insert: Mapping[str, Column] | None = None,
                insert_when: Column | None = None, null_safe: Sequence[str] = (),
@@ -64,13 +72,12 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ``compare`` gives the compared form of a key, such as its canonical text; it
     must be a function of the column of that name.
     """
-    forms = {k: (compare or {}).get(k) for k in keys}
+    forms = _forms(keys, null_safe, compare)
     t, names = _canonical(target, forms)
     s, _ = _canonical(source, forms)
-    safe = [n for k, n in zip(keys, names) if k in null_safe]
     t = t.withColumn(_PRESENT, F.lit(True)).alias("t")
     s = s.withColumn(_PRESENT, F.lit(True)).alias("s")
-    joined = t.join(s, key_match("t", "s", names, safe), "full_outer")
+    joined = t.join(s, key_match("t", "s", names), "full_outer")
     in_target = col(_PRESENT, "t").isNotNull()
     in_source = col(_PRESENT, "s").isNotNull()
     if insert_when is not None:
@@ -99,8 +106,9 @@ def upsert_overwrite(target: DataFrame, source: DataFrame, keys: Sequence[str],
     that the target lacks are not stored.
     """
     source = _require_keys(source, keys, null_safe)
-    forms = [(compare or {}).get(k, col(k)) for k in keys]
-    last = newest(source, forms, order)
+    # reduced and joined on the same columns, so the source moves once
+    keyed, names = _canonical(source, _forms(keys, null_safe, compare))
+    last = newest(keyed, names, order)
     rules = {c: col(c, "s") for c in target.columns if c not in keys and c in source.columns}
     return merge_rows(target, last, keys, rules, null_safe=null_safe, compare=compare)
 

@@ -165,3 +165,22 @@ def test_inactive_metrics_add_points_but_no_weight(spark):
     as_written = SC.projected_score(_metrics(spark), rules, ["unit"]).first()[1]
     only = SC.projected_score(_metrics(spark), rules, ["unit"], active_only=True).first()[1]
     assert float(as_written) == 105.01 and float(only) == 100.0
+
+
+def test_null_keys_slices_and_values_are_numbered(spark):
+    data = [("a", 1, 5), ("a", None, 6), ("a", None, 7), (None, 1, 8), (None, 1, 9), ("a", 2, 1)]
+    df = spark.createDataFrame(data, "k string, day int, line int")
+    got = RK.slice_ordinal(df, ["k"], {"__day": F.col("day"), "__block": F.floor(F.col("line") / 2)}, [F.col("line")], "n", "total")
+    got = got.select("k", "day", "line", "n", "total")
+    assert rows(got) == sorted([("a", None, 6, 1, 4), ("a", None, 7, 2, 4), ("a", 1, 5, 3, 4), ("a", 2, 1, 4, 4),
+                                (None, 1, 8, 1, 2), (None, 1, 9, 2, 2)], key=str)
+    values = spark.createDataFrame([("a", 3.0), ("a", None), ("a", 9.0), (None, 4.0), (None, None), ("a", 3.0)], "k string, v double")
+    assert rows(RK.slice_dense_rank(values, ["k"], "v", 2.0)) == sorted(
+        [("a", 9.0, 1), ("a", 3.0, 2), ("a", 3.0, 2), ("a", None, 3), (None, 4.0, 1), (None, None, 2)], key=str)
+
+
+def test_an_absent_metric_makes_the_score_null(spark):
+    whole = _metrics(spark)
+    first = whole.select("metric_code").first()[0]
+    assert SC.projected_score(whole, SC.policy(spark), ["unit"]).first()[1] is not None
+    assert SC.projected_score(whole.filter(F.col("metric_code") != first), SC.policy(spark), ["unit"]).first()[1] is None

@@ -57,3 +57,21 @@ def test_scans_read_only_needed_columns(spark):
 
 def test_every_query_has_equal_sql():
     assert set(catalog.all_queries()) == set(catalog.all_sql())
+
+
+def test_a_null_safe_upsert_moves_each_side_once(spark):
+    left = spark.createDataFrame([(1, "x", 1), (2, None, 2)], "a int, b string, v int")
+    right = spark.createDataFrame([(1, "x", 5, 1), (2, None, 6, 1), (2, None, 7, 2), (3, None, 8, 1)], "a int, b string, v int, line int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged = C.upsert_overwrite(left, right, ["a", "b"], ["line"], null_safe=("b",))
+        assert plan(merged).count("Exchange hashpartitioning") == 2
+        assert sorted(map(tuple, merged.collect()), key=str) == sorted([(1, "x", 5), (2, None, 7), (3, None, 8)], key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_the_expensive_input_is_read_twice_at_most(spark):
+    text = plan(catalog.all_queries()["week_ranking"](spark, SMOKE))
+    assert text.count("Scan parquet") <= 3 and "RoundRobin" not in text
