@@ -8,6 +8,7 @@ import pathlib
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -31,18 +32,48 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is stashed inside goes at the end, but for what is kept."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def stash(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """The rows written to the shared folder and read back: a cut of the lineage that survives lost executors.
 
-    Nothing reads the shuffles behind the rows any more, so the driver drops what refers to
+    Inside ``scratch`` the rows go with it, or, with ``keep``, with the scratch around it if there is
+    one. Nothing reads the shuffles behind the rows any more, so the driver drops what refers to
     them; Spark's cleaner then deletes their files instead of keeping them to the end of the job.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    owners = _scopes[:-1] if keep else _scopes
+    if owners:
+        owners[-1].append(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete stashed rows that nothing will read any more."""
+    _delete(df.sparkSession, df.stashed)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from haulmark.llm.common import stash
+from haulmark.llm.common import discard, stash
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -24,7 +24,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     links, before = stash(links, "links"), None
     while True:
-        links = stash(_small(_large(links)), "links")
+        old, links = links, stash(_small(_large(links)), "links")
+        discard(old)
         # the links are a set, so an order-free sum of their hashes tells whether it has changed
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

@@ -16,6 +16,8 @@ ORDERS = (1, 2, 3)
 FEATURES = 1 << 16
 #: The classifier learns from at most so many whole documents of a language, those of least id hash.
 SAMPLE = 3000
+#: Ids of the sample are broadcast if there are no more than this.
+BROADCAST = 1 << 19
 UNKNOWN = "und"
 
 _U = np.uint64
@@ -77,6 +79,8 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", sample: int =
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample).select("doc_id", "lang")
+    if sample * len(languages) <= BROADCAST:
+        chosen = F.broadcast(chosen)  # so many rows at most
     counted = (rows.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
                .mapInArrow(_count(languages), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas())
     counts = np.zeros(len(languages) * FEATURES)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from haulmark.llm import words as W
-from haulmark.llm.common import each, id_text, stash
+from haulmark.llm.common import discard, each, id_text, scratch, stash
 from haulmark.llm.components import components
 from haulmark.llm.superminhash import signatures
 
@@ -93,12 +93,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shingles and stands alone. Rows with a null id are kept, with a null component.
     Rows with one id are one node; each of them gets a row. An empty table gives none.
     """
-    texts = id_text(docs, id_col, text_col)
+    with scratch(docs.sparkSession):
+        return stash(_groups(id_text(docs, id_col, text_col), shingle, percent, bands, rows), "groups", keep=True)
+
+
+def _groups(texts: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
     features = stash(texts.mapInArrow(_features(shingle, bands, rows),
                                       "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"), "features")
     classes = stash(features.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2")
                     .agg(F.min("doc_id").alias("rep")), "classes")
-    links = _links(texts, features, classes, shingle, percent)
+    links = stash(_links(texts, features, classes, shingle, percent), "near")
     roots = components(links, "x", "y")
     named = classes.join(roots, classes["rep"] == roots["node"], "left").select(
         "key1", "key2", F.coalesce("root", "rep").alias("root"))
@@ -115,11 +119,13 @@ def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, shingle: i
     member = stash(keyed.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket")).distinct(), "buckets")
     size = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stash(member.join(size, "bucket"), "shared")
+    discard(member)
     company = shared.groupBy("x").agg(F.sum("size").alias("company"))
     hubs = (shared.join(company, "x").groupBy("bucket")
             .agg(F.max(F.struct("company", (-F.col("x")).alias("minus"))).alias("top"))
             .select("bucket", (-F.col("top.minus")).alias("hub")))
     pairs = stash(shared.join(hubs, "bucket").where("x <> hub").select("x", "hub").distinct(), "pairs")
+    discard(shared)
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("hub")).distinct()
     sets = stash(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
                  .mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
@@ -133,6 +139,7 @@ def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, shingle: i
                             F.transform("extra", lambda v: v.bitwiseAND(F.lit(-2)))).alias("diff"))
            .withColumn("near", (F.lit(100) * (F.col("nh") - F.col("m")) >= F.lit(percent) * (F.col("nh") + F.col("e")))))
     met = stash(met, "met")
+    discard(sets)
     near = met.where("near").select("x", F.col("hub").alias("y"))
     return near.unionByName(_rest(met, percent))
 
