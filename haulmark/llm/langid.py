@@ -77,8 +77,14 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", sample: int =
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((FEATURES, 0), np.float32), np.zeros(0))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample).select("doc_id", "lang")
+    # hashes below a limit that leaves about half more than the sample of each language, then the least of them:
+    # one task ranks a bounded number of ids, however many a language has
+    places = 1 << 62
+    limits = F.create_map(*[F.lit(v) for x in languages for v in (x, min(places, int(places * (1.5 * sample + 100) / sizes[x])))])
+    ranked = (rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(places)).alias("place"))
+              .where(F.col("place") < F.element_at(limits, F.col("lang"))))
+    first = Window.partitionBy("lang").orderBy("place", "doc_id")
+    chosen = ranked.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample).select("doc_id", "lang")
     if sample * len(languages) <= BROADCAST:
         chosen = F.broadcast(chosen)  # so many rows at most
     counted = (rows.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
