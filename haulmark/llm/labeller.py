@@ -5,8 +5,8 @@ hashed tag-path words, hashed words of the text and a few measures; every block
 classified from the states of both directions, so from all blocks before and after it.
 
 There are no labelled pages, so the labeller learns from pages whose markup says what is what (an
-``article`` or ``main`` element and page furniture around it): ``SAMPLE`` pages of least hash of
-their id, of at most ``SAMPLE_BYTES`` bytes. In training some paths are hidden, so that words, measures
+``article`` or ``main`` element and page furniture around it): ``SAMPLE`` pages of least hash
+of id and content, of at most ``SAMPLE_BYTES`` bytes. In training some paths are hidden, so that words, measures
 and neighbours are learned from too. Every page is labelled, whole.
 """
 
@@ -188,8 +188,17 @@ def train(pages: DataFrame, sample: int = SAMPLE, largest: int = SAMPLE_BYTES, i
     html = F.col(html_col)
     rows = (pages.select(F.col(id_col).alias("id"), html.alias("html")).where("html is not null")
             .where(F.octet_length("html") <= largest).where(F.col("html").rlike("(?i)<(article|main)[ >]")))
-    some = rows.orderBy(F.xxhash64("id"), "id", F.xxhash64("html")).limit(sample).collect()
-    return fit([blocks_of(r["html"]) for r in some])
+    # only pages below a limit on the hash go to the driver, so what it gets doesn't grow with the table; the
+    # limit is raised until there are enough
+    places, total = 1 << 62, max(1, pages.count())
+    limit, some = 3 * sample / total, []
+    while True:
+        place = F.pmod(F.xxhash64("id", "html"), F.lit(places))
+        some = (rows.withColumn("place", place).where(F.col("place") < min(places, int(places * limit)))
+                .orderBy("place", "id", F.xxhash64("html")).limit(sample).collect())
+        if len(some) >= sample or limit >= 1:
+            return fit([blocks_of(r["html"]) for r in some])
+        limit *= 4
 
 
 #: Steps times pages of a batch when labelling.
