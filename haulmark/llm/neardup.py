@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from haulmark.llm import words as W
-from haulmark.llm.common import discard, each, id_text, scratch, stash
+from haulmark.llm.common import discard, each, id_text, likely, scratch, stash
 from haulmark.llm.components import components
 from haulmark.llm.superminhash import signatures
 
@@ -127,7 +127,7 @@ def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, shingle: i
     pairs = stash(shared.join(hubs, "bucket").where("x <> hub").select("x", "hub").distinct(), "pairs")
     discard(shared)
     wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("hub")).distinct()
-    sets = stash(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = stash(likely(texts, wanted).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
                  .mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
     met = (pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("items").alias("xs")), "x")
            .join(sets.select(F.col("doc_id").alias("hub"), F.col("items").alias("hs")), "hub")

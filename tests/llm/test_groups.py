@@ -90,6 +90,17 @@ def test_groups_of_odd_rows(documents):
     assert near_duplicates(documents([])).count() == 0
 
 
+def test_likely_rows(spark, monkeypatch):
+    from haulmark.llm import common
+    ids = [-5, 0, 1, 63, 64, 10 ** 15, common.SLOTS, common.SLOTS + 7]
+    rows = spark.createDataFrame([(i, "t") for i in [*ids, 2, 3, 10 ** 9]] + [(None, "x")], "doc_id long, text string")
+    wanted = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    assert sorted(r.doc_id for r in common.likely(rows, wanted).collect()) == sorted(ids)
+    assert common.likely(rows, wanted.limit(0)).count() == 0
+    monkeypatch.setattr(common, "SLOTS", 1)  # a full filter lets all through
+    assert common.likely(rows, wanted).count() == 11
+
+
 def test_components(spark):
     r = random.Random(2)
     links = [(k, k + 1) for k in range(100, 180)] + [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3), (4, None), (9, 8), (9, 8), (8, 9)]
