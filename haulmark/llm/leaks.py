@@ -1,11 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-1. One pass counts in how many documents each word n-gram of the benchmark occurs; only the
-   counts of these n-grams leave the tasks. The rarer half of an item's n-grams,
-   ``SEEDS`` at least, are its seeds.
-   The choice is by rank within the item, so an item that is copied very often has seeds like any other.
-2. A second pass finds the seeds in the documents by joining on their hashes. Seeds of one
-   item that hit a document on diagonals near each other mark a passage, which is aligned with the whole item.
+All word n-grams of an item are its seeds, found in the documents by joining on their hashes. A seed of an
+item that hits a document, with those on diagonals near it, marks a passage. Passages that hold too few of the
+item's words to reach the score are left out, the others are aligned with the whole item.
 
 The benchmark is a query set against all rows: it is read in blocks of ``ITEM_WORDS`` words at most (or one
 longer item), each broadcast in turn, so what a task holds is bounded however large the benchmark is.
@@ -24,8 +21,8 @@ from haulmark.llm import words as W
 from haulmark.llm.common import each, id_text, ship
 
 GRAM = 3
-#: An item has at least so many seeds, if it has so many n-grams.
-SEEDS = 16
+#: Hits of seeds that are looked at together, but for those of one document.
+HITS = 1 << 21
 ITEM_WORDS = 1 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: A pair is a leak if the alignment has this share of the score of a full copy of the item.
@@ -53,15 +50,13 @@ def _gram_of(words: np.ndarray) -> np.ndarray:
     return W.shingles(words, GRAM)
 
 
-def items_of(ids: list[int], words: list[np.ndarray], chosen: list[np.ndarray] | None = None) -> Items:
-    """``chosen`` keeps, item by item, only the n-grams at the places flagged."""
+def items_of(ids: list[int], words: list[np.ndarray]) -> Items:
     gram, item, at = [], [], []
     for k, w in enumerate(words):
         g = _gram_of(w)
-        keep = np.flatnonzero(chosen[k]) if chosen is not None else np.arange(len(g))
-        gram.append(g[keep])
-        item.append(np.full(len(keep), k, np.int64))
-        at.append(keep)
+        gram.append(g)
+        item.append(np.full(len(g), k, np.int64))
+        at.append(np.arange(len(g)))
     flat = np.concatenate(gram) if gram else np.zeros(0, _U)
     order = np.argsort(flat, kind="stable")
     grams, first = np.unique(flat[order], return_index=True)
@@ -96,21 +91,6 @@ def _hits(texts: pa.Array, items: Items) -> tuple[np.ndarray, np.ndarray, np.nda
     return words, first, place[same], at[same]
 
 
-def _count(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shared.value
-        total = np.zeros(len(items.grams), np.int64)
-        for batch in each(batches):
-            for part in W.slices(batch, "text"):
-                _, first, place, gram = _hits(part.column(1), items)
-                row = np.searchsorted(first, place, "right") - 1
-                seen = np.unique(row * max(1, len(total)) + gram)
-                total += np.bincount(seen % max(1, len(total)), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["gram", "n"])
-    return run
-
-
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: its score, and first and last word of the passage in it.
 
@@ -139,31 +119,36 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, span[0], span[1]
 
 
-def passages(words: np.ndarray, first: np.ndarray, place: np.ndarray, gram: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
+def passages(words: np.ndarray, first: np.ndarray, place: np.ndarray, gram: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item, first word, end word, seeds) around seeds of one item that lie on near diagonals."""
+    order = np.argsort(place, kind="stable")
+    place, gram = place[order], gram[order]
+    total = np.cumsum(items.first[gram + 1] - items.first[gram])
+    ends = np.searchsorted(place, first[1:])  # hits before the end of each row
+    a = 0
+    while a < len(place):
+        b = int(np.searchsorted(total, (total[a - 1] if a else 0) + HITS, "right"))
+        b = int(ends[max(np.searchsorted(ends, b, "right") - 1, np.searchsorted(ends, a, "right"))])
+        yield from _near(first, place[a:b], gram[a:b], items)
+        a = b
+
+
+def _near(first: np.ndarray, place: np.ndarray, gram: np.ndarray, items: Items) -> Iterator[tuple[int, int, int, int, int]]:
     size = items.first[gram + 1] - items.first[gram]
     source = np.repeat(np.arange(len(place)), size)
-    posting = np.repeat(items.first[gram] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(len(source)) if len(place) else source
+    posting = np.repeat(items.first[gram] - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(len(source))
     row = np.searchsorted(first, place, "right")[source] - 1
     item, spot = items.item[posting], place[source]
     diagonal = spot - items.at[posting]
     order = np.lexsort((diagonal, item, row))
     row, item, diagonal, spot = row[order], item[order], diagonal[order], spot[order]
-    out = []
-    a = 0
-    cut = np.flatnonzero((row[1:] != row[:-1]) | (item[1:] != item[:-1])
-                         | (diagonal[1:] - diagonal[:-1] > np.array([max(8, len(items.words[k]) // 2) for k in range(len(items.words))])[item[1:]])) + 1 if len(row) else []
-    for b in [*cut, len(row)] if len(row) else []:
+    length = np.array([len(w) for w in items.words])
+    slack = np.maximum(8, length // 2)
+    cut = np.flatnonzero((row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[item[1:]])) + 1
+    for a, b in zip(np.append(0, cut).tolist(), np.append(cut, len(row)).tolist()):
         k, r = int(item[a]), int(row[a])
-        length = len(items.words[k])
-        need = 2 if length >= 2 * GRAM else 1
-        seeds = len(np.unique(spot[a:b]))
-        if seeds >= need:
-            slack = max(8, length // 2)
-            low = max(int(diagonal[a]) - slack, int(first[r]))
-            out.append((r, k, low, min(int(diagonal[b - 1]) + length + slack, int(first[r + 1])), seeds))
-        a = b
-    return out
+        low = max(int(diagonal[a]) - int(slack[k]), int(first[r]))
+        yield r, k, low, min(int(diagonal[b - 1]) + int(length[k] + slack[k]), int(first[r + 1])), len(np.unique(spot[a:b])) if b > a + 1 else 1
 
 
 def _leaks(shared, least: float):
@@ -175,6 +160,9 @@ def _leaks(shared, least: float):
                 ids = part.column(0)
                 found: dict[tuple[int, int], tuple] = {}
                 for r, k, low, high, seeds in passages(words, first, place, gram, items):
+                    # no alignment matches more words of the item than occur in the passage
+                    if np.isin(items.words[k], words[low:high]).sum() < least * len(items.words[k]):
+                        continue
                     score, begin, end = align(items.words[k], words[low:high])
                     share = score / (MATCH * len(items.words[k]))
                     if share >= least and share > found.get((r, k), (0.0,))[0]:
@@ -216,17 +204,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, least: float = SCORE, id_c
     texts = id_text(docs, id_col, text_col)
     out = spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, last_word long, seeds int")
     for ids, words in _blocks(benchmark, item_col, item_text_col):
-        everything = items_of(ids, words)
-        counted = (texts.mapInArrow(_count(spark.sparkContext.broadcast(everything)), "gram long, n long")
-                   .groupBy("gram").agg(F.sum("n").alias("n")).toPandas())
-        total = np.zeros(len(everything.grams), np.int64)
-        total[counted["gram"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-        chosen = []
-        for w in words:
-            n = total[np.searchsorted(everything.grams, _gram_of(w))]
-            rank = np.argsort(np.argsort(n, kind="stable"), kind="stable")
-            chosen.append(rank < max(SEEDS, (len(n) + 1) // 2))
-        seeds = items_of(ids, words, chosen)
+        seeds = items_of(ids, words)
         out = out.unionByName(texts.mapInArrow(_leaks(spark.sparkContext.broadcast(seeds), least),
                                                "doc_id long, item_id long, score double, first_word long, last_word long, seeds int"))
     return out

@@ -132,6 +132,27 @@ def test_leaks_equal_brute_force(spark, documents, monkeypatch, block):
     assert {r.doc_id for r in K.without_leaks(documents(rows), spark.createDataFrame([(i,) for i, _ in got], "doc_id long")).collect()} == clean
 
 
+@pytest.mark.parametrize("hits", [40, K.HITS])
+def test_leaks_with_many_words_replaced(spark, documents, monkeypatch, hits):
+    """10 to 25 % of the words replaced, beside full copies, and one edited text copied many times, against alignment of every pair."""
+    monkeypatch.setattr(K, "HITS", hits)
+    r = random.Random(8)
+    fresh = lambda n: [f"v{r.randrange(10 ** 6)}" for _ in range(n)]
+    items = [(k, fresh(n)) for k, n in enumerate([38] * 6 + [18, 8, 60])]
+    texts = [fresh(150) for _ in range(10)]
+    for k, words in items:
+        for share in (0, 0.1, 0.15, 0.2, 0.25):
+            at = set(r.sample(range(len(words)), int(share * len(words))))
+            copy = fresh(r.randint(0, 60)) + [fresh(1)[0] if j in at else w for j, w in enumerate(words)] + fresh(r.randint(0, 60))
+            texts += [copy] * (30 if k == 3 and share == 0.2 else 1)
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    names = {w: j for j, w in enumerate({w for t in texts for w in t} | {w for _, t in items for w in t})}
+    coded = lambda t: np.array([names[w] for w in t])
+    want = {(n, k) for n, t in enumerate(texts) for k, words in items if K.align(coded(words), coded(t))[0] >= K.SCORE * K.MATCH * len(words)}
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in K.find_leaks(documents(rows), benchmark).collect()} == want and len(want) >= 70
+
+
 def test_leaks_of_empty_tables(spark, documents):
     items = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
     assert K.find_leaks(documents([]), items).count() == 0
