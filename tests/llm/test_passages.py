@@ -57,6 +57,22 @@ def test_repeated_passages(documents):
     assert {i for i, _ in left} >= {i for i, t in rows if i not in holders} and all(dict(rows)[i] == t for i, t in left if i not in holders)
 
 
+def test_the_least_of_linked_documents_keeps_a_passage(spark, documents):
+    """Hubs with the largest ids: of members known only through them, all but the least are cut."""
+    words = lambda name, n: [f"{name}{k}" for k in range(n)]
+    star, chain, long = words("s", 60), words("c", 60), words("l", 100)
+    rows = [(i, " ".join(words(f"o{i}x", 5) + p)) for i, p in [(5, star), (6, star), (9, star), (2, chain), (3, chain), (20, chain), (21, chain),
+                                                             (30, long[:60]), (31, long[40:]), (40, long), (33, long[30:90]), (34, long[45:])]]
+    pairs = [(5, 5, 60, 9, 5, 60), (6, 5, 60, 9, 5, 60),
+             (3, 5, 60, 20, 5, 60), (20, 5, 60, 21, 5, 60), (2, 5, 60, 21, 5, 60),
+             (30, 5, 60, 40, 5, 60), (31, 5, 60, 40, 45, 60), (33, 5, 60, 40, 35, 60), (34, 5, 55, 40, 50, 55)]
+    found = spark.createDataFrame([(*p, 1.0) for p in pairs], "doc_id long, first_word int, n_words int, other_id long, other_first_word int, other_n_words int, similarity double")
+    left = {r.doc_id: plain_words(r.text) for r in R.without_repeats(documents(rows), found).collect()}
+    gone = {6: star, 9: star, 3: chain, 20: chain, 21: chain, 33: long[40:90], 34: long[45:], 40: long}
+    for i, t in rows:
+        assert left[i] == [w for w in t.split() if w not in gone.get(i, [])], i
+
+
 def test_edited_passages(documents):
     r = random.Random(3)
     base = [f"p{k}" for k in range(200)]
