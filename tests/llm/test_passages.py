@@ -73,6 +73,24 @@ def test_the_least_of_linked_documents_keeps_a_passage(spark, documents):
         assert left[i] == [w for w in t.split() if w not in gone.get(i, [])], i
 
 
+def test_every_holder_meets_one_that_has_the_passage(documents):
+    """Lines of a passage stand in earlier documents, each several times, and in a very long one, all in other surroundings."""
+    r = random.Random(11)
+    fresh = lambda n: [f"v{r.randrange(10 ** 8)}" for _ in range(n)]
+    rows, giant = [], []
+    for k in range(12):
+        lines = [fresh(20) for _ in range(3)]
+        passage = sum(lines, [])
+        apart = sum((fresh(30) + line for line in lines), [])
+        giant += apart + fresh(30)
+        rows += [(k, " ".join(apart + fresh(30) + apart)), (100 + k, " ".join(apart + fresh(25) + apart)), (200 + k, " ".join(apart + fresh(20) + passage + fresh(9)))]
+        rows += [(300 + 10 * k + j, " ".join(fresh(7) + passage + fresh(9))) for j in range(2)]
+    rows.append((50, " ".join(giant)))
+    found = R.repeated_passages(documents(rows)).collect()
+    assert {x.doc_id for x in found} | {x.other_id for x in found} == exact_holders(rows)
+    assert {(x.doc_id, x.other_id) for x in found} >= {(300 + 10 * k + j, 200 + k) for k in range(12) for j in range(2)}
+
+
 def test_edited_passages(documents):
     r = random.Random(3)
     base = [f"p{k}" for k in range(200)]
