@@ -10,7 +10,7 @@ __all__ = [
     "NULL_WORDS", "NAME_NULL_WORDS", "ID_NULL_WORDS", "strip", "strip_common", "null_like", "blank_to_null",
     "name_text", "limit_length", "normalize_id", "split_list", "station_code",
     "route_station", "week_label", "service_type", "full_name", "canonical_key",
-    "row_signature", "key_text", "time_text", "id_text",
+    "row_signature", "key_text", "time_text", "id_text", "NO_PART", "day_part", "text_part",
 ]
 
 # Cells that mean "no value". The comparison is case-sensitive.
@@ -57,9 +57,11 @@ def name_text(c: Column) -> Column:
 
 def limit_length(c: Column, max_len: int, strategy: str = "truncate",
                  field: str = "value") -> Column:
-    """Cut text longer than ``max_len`` or, with ``strategy='error'``, fail the job."""
+    """Cut text longer than ``max_len``; with ``strategy='error'`` fail the job, with ``'keep'`` leave it to the table's checks."""
     if strategy == "truncate":
         return F.left(c, F.lit(max_len))
+    if strategy == "keep":
+        return c
     if strategy != "error":
         raise ValueError(f"unknown length strategy: {strategy}")
     message = F.concat(F.lit(f"{field} is longer than {max_len}: "), c)
@@ -144,3 +146,17 @@ def id_text(c: Column) -> Column:
 def row_signature(*parts: Column) -> Column:
     """SHA-256 over the joined parts, which must already be non-null text."""
     return F.sha2(F.concat_ws("|", *parts), 256)
+
+
+#: Partition of stored rows without a date or label.
+NO_PART = "none"
+
+
+def day_part(c: Column) -> Column:
+    """Partition of a date or time: its day."""
+    return F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit(NO_PART))
+
+
+def text_part(c: Column) -> Column:
+    """Partition of a label: as it is compared, cut to what a folder name holds. Equal keys have equal partitions."""
+    return F.coalesce(F.nullif(F.left(canonical_key(c.cast("string")), F.lit(40)), F.lit("")), F.lit(NO_PART))

@@ -39,10 +39,31 @@ class TableSpec:
     null_safe: tuple[str, ...] = ()
     date_column: str | None = None
     context: Mapping[str, str] = field(default_factory=dict)  # columns set by the run
+    lengths: Mapping[str, int] = field(default_factory=dict)  # instead of the declared ones
 
     def schema(self) -> T.StructType:
+        """The columns; the metadata of a text column has its greatest length as ``max_length``."""
         ddl = [f"`{n}` {t}" for n, t in self.context.items()]
-        return T.StructType.fromDDL(", ".join(ddl + [f"`{f.name}` {f.dtype}" for f in self.fields]))
+        plain = T.StructType.fromDDL(", ".join(ddl + [f"`{f.name}` {f.dtype}" for f in self.fields]))
+        lengths = {**LENGTHS.get(self.table, {}), **self.lengths}
+        return T.StructType([T.StructField(f.name, f.dataType, True, {"max_length": lengths[f.name]} if f.name in lengths else None)
+                             for f in plain.fields])
+
+    def part(self) -> Column | None:
+        """The partition of a stored row, a function of its key; none for tables that are small or only appended to."""
+        if self.table not in PARTS:
+            return None
+        name, form = PARTS[self.table]
+        return form(col(name))
+
+    def checks(self) -> dict[str, Column]:
+        """What a stored row must satisfy: columns that may not be null, and greatest lengths."""
+        found = {f"{f.name} missing": col(f.name).isNotNull() for f in self.fields if f.required}
+        for f in self.schema().fields:
+            if "max_length" in f.metadata:
+                most = f.metadata["max_length"]
+                found[f"{f.name} longer than {most}"] = F.char_length(col(f.name)) <= most
+        return found
 
     def signature_parts(self) -> list[Column]:
         return [form(col(name)) for name, form in self.signature.items()]
@@ -201,7 +222,7 @@ def itineraries(max_len: int = 200, strategy: str = "truncate") -> TableSpec:
             "route_code", lambda c: H.limit_length(H.null_like(c), max_len, strategy, "route_code"), "string")),
         key=("file_datetime", "transporter_id", "route_code"), mode="overwrite",
         null_safe=("route_code",), signature=_ITINERARY_SIGNATURE,
-        context={"file_datetime": "timestamp_ntz"},
+        context={"file_datetime": "timestamp_ntz"}, lengths={"route_code": max_len},
     )
 
 
@@ -543,3 +564,40 @@ ALL_SPECS = {
     "weekly_scorecard": WEEKLY_SCORECARD, "tenure_backlog_raw": TENURE_REPORT,
     "revenue_rate": RATES,
 }
+
+#: Stored tables that are partitioned: the column that says where a row is, which is part of its key, and how.
+PARTS: dict[str, tuple[str, Callable[[Column], Column]]] = {
+    "routes": ("snapshot_dt", H.day_part), "itineraries": ("file_datetime", H.day_part), "safety_events": ("event_datetime", H.day_part),
+    "daily_overview": ("metric_date", H.day_part), "weekly_overview": ("year", H.text_part),
+    "quality_overview_daily": ("metric_date", H.day_part), "daily_scorecard": ("week_label", H.text_part),
+    "weekly_scorecard": ("year_week_label", H.text_part), "station_metrics_daily": ("metric_date", H.day_part),
+    "station_metrics_weekly": ("iso_year_week", H.text_part), "wst_delivered_packages": ("metric_date", H.day_part),
+    "wst_service_details": ("row_date", H.day_part), "wst_unplanned_delay": ("row_date", H.day_part),
+    "revenue_log": ("row_date", H.day_part),
+}
+
+# Declared lengths of text columns.
+LENGTHS: dict[str, dict[str, int]] = {
+    "associate": {"transporter_id": 16, "full_name": 200, "position_title": 200, "qualifications": 400, "personal_phone": 32,
+                  "work_phone": 32, "email": 256, "working_status": 64},
+    "routes": {"route_code": 32, "dsp_name": 200, "transporter_id": 16, "driver_name": 200, "route_progress": 64,
+               "delivery_service_type": 200},
+    "itineraries": {"transporter_id": 64, "driver_name": 128, "dsp_name": 128, "da_activity": 64, "route_code": 64,
+                    "progress_status": 64, "delivery_service_type": 200, "cortex_vin_number": 64, "station_code": 32},
+    "safety_events": {"delivery_associate": 200, "transporter_id": 16, "vin": 32, "oss_impact": 8, "metric_type": 100,
+                      "metric_subtype": 100, "source": 64, "video_link": 512, "review_details": 1000},
+    "daily_overview": {"metric_name": 128, "source_note": 64},
+    "weekly_overview": {"metric_name": 128, "source_note": 64},
+    "quality_overview_daily": {"delivery_associate": 200, "transporter_id": 16},
+    "daily_scorecard": {"week_label": 32, "delivery_associate_name": 200, "delivery_associate_id": 64},
+    "station_metrics_daily": {"dsp_code": 32},
+    "station_metrics_weekly": {"iso_year_week": 16, "dsp_code": 32},
+    "wst_delivered_packages": {"station": 128, "dsp_short_code": 32, "package_details": 128, "package_type": 128},
+    "wst_service_details": {"station": 128, "dsp_short_code": 32, "delivery_associate": 200, "route_code": 32, "service_type": 200,
+                            "planned_duration_label": 32, "distance_unit": 32, "excluded_flag": 8},
+    "wst_unplanned_delay": {"station": 128, "dsp_short_code": 32, "unplanned_delay": 256, "notes": 1000},
+    "wst_weekly_report": {"station": 128, "dsp_short_code": 32, "service_type": 200, "planned_duration_label": 32,
+                          "planned_distance_unit": 32, "amzl_late_cancel": 32, "dsp_late_cancel": 32, "quick_coverage": 32, "accepted": 32},
+    "weekly_scorecard": {"year_week_label": 16, "delivery_associate_name": 200, "transporter_id": 32, "overall_standing": 50,
+                         "fico_metric": 64, "fico_tier": 50},
+}

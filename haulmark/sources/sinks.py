@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from haulmark.operators.columns import col
 from haulmark.session import scratch_path
 
-__all__ = ["conform", "append_rows", "replace_table", "stage_rows", "table_or_empty",
-           "table_inventory", "ingest_report"]
+__all__ = ["conform", "append_rows", "write_ordered", "order_breaks", "stage_rows",
+           "table_inventory", "file_inventory", "ingest_report"]
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -33,24 +32,24 @@ def append_rows(df: DataFrame, schema: T.StructType, path: str,
     writer.parquet(path)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Write ``df`` as a new version of the table ``name`` and point the name at it.
+def write_ordered(df: DataFrame, path: str, keys: Sequence[str | Column]) -> None:
+    """Rows in the order of ``keys``: file names ascend with it, and so do the rows of a file. Nulls come first."""
+    order = [col(k).asc_nulls_first() if isinstance(k, str) else k for k in keys]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
-    ``df`` may read the table it replaces. The name always has a complete version: it
-    moves from the old files to the new ones in one step, after which the old ones go.
+
+def order_breaks(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Files (file_name) whose rows are out of order, or that begin before the file ahead of them ends; none if all is in order.
+
+    Rows are compared inside their file only; of a file just the ends meet those of others.
     """
-    database, _, table = name.rpartition(".")
-    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
-    path = f"{home.rstrip('/')}/{table}_v{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(name, path=path, source="parquet")
-        return
-    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(name)
-    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(detail["Location"])
-    old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
+    rows = spark.read.parquet(path).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.row_index").alias("row"), F.struct(*[col(k) for k in keys]).alias("key"))
+    inside = Window.partitionBy("file_name").orderBy("row")
+    files = rows.withColumn("wrong", F.lag("key").over(inside) > F.col("key")).groupBy("file_name").agg(
+        F.coalesce(F.bool_or("wrong"), F.lit(False)).alias("wrong"), F.min_by("key", "row").alias("first"), F.max_by("key", "row").alias("last"))
+    ahead = F.lag("last").over(Window.orderBy("file_name"))  # a row per file
+    return files.withColumn("early", F.coalesce(ahead > F.col("first"), F.lit(False))).where("wrong or early").select("file_name", "wrong", "early")
 
 
 def stage_rows(df: DataFrame, label: str) -> DataFrame:
@@ -60,12 +59,6 @@ def stage_rows(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
-    if spark.catalog.tableExists(name):
-        return spark.table(name)
-    return spark.createDataFrame([], schema)
-
-
 def table_inventory(tables: Mapping[str, DataFrame], schema_name: str) -> DataFrame:
     """Row count per table. Counts need no columns, so Parquet answers from footers."""
     counts = [
@@ -75,6 +68,22 @@ def table_inventory(tables: Mapping[str, DataFrame], schema_name: str) -> DataFr
     return reduce(DataFrame.unionByName, counts)
 
 
+def file_inventory(tables: Mapping[str, DataFrame], schema_name: str) -> DataFrame:
+    """``table_inventory`` with files, bytes and the times (UTC) at which the oldest and the newest file were written.
+
+    A table's files are found from the rows' metadata, so an empty table has none and null times.
+    """
+    found = []
+    for name, df in tables.items():
+        meta = F.col("_metadata")
+        files = df.groupBy(meta["file_path"].alias("file"), meta["file_size"].alias("size"), meta["file_modification_time"].alias("at")).agg(
+            F.count(F.lit(1)).alias("n"))
+        found.append(files.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"),
+            F.min("at").alias("created_utc"), F.max("at").alias("modified_utc")).select(F.lit(schema_name).alias("schema_name"), F.lit(name).alias("table_name"), "*"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def ingest_report(rows: DataFrame, file: str = "file_name", table: str = "table") -> DataFrame:
     """Rows taken from each file into each table."""
     return rows.groupBy(file, table).agg(F.count(F.lit(1)).alias("rows"))

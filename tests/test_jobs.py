@@ -5,6 +5,7 @@ import io
 import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from haulmark.plans import jobs, specs as S
 from haulmark.sources import exports as X
@@ -104,7 +105,7 @@ def test_archive_rows_of_any_width():
     buffer = io.BytesIO()
     with zipfile.ZipFile(buffer, "w") as z:
         z.writestr("a.csv", "Date,Station,Date\n2025-09-03,DSW3\n2025-09-03,DSW3,x,extra\n2025-09-03,DSW3,x,,\n")
-    got = [(cells, surplus) for _, _, cells, surplus in X.archive_rows(buffer.getvalue())]
+    got = [(cells, surplus) for _, method, data in X.archive_members(buffer.getvalue()) for _, cells, surplus in X.member_rows(data, method)]
     assert got == [({"date": "2025-09-03", "station": "DSW3"}, None), ({"date": "2025-09-03", "station": "DSW3"}, ["extra"]),
                    ({"date": "2025-09-03", "station": "DSW3"}, None)]
 
@@ -185,10 +186,11 @@ def test_directory_run_is_complete_and_repeatable(spark, folder):
     jobs.merge_tenure_report(spark, db, NOW)
     assert {s.transporter_id for s in spark.table(f"{db}.tenured_workforce").collect()} >= {"T1"}
     twice = spark.table(f"{db}.safety_events")
-    twice.write.mode("append").format("parquet").saveAsTable(f"{db}.safety_events")
+    twice.withColumn("source", F.lit("later")).write.insertInto(f"{db}.safety_events")
     assert spark.table(f"{db}.safety_events").count() == 2
-    jobs.purge_duplicates(spark, S.SAFETY_EVENTS, db, list(S.SAFETY_EVENTS.schema().names))
-    assert spark.table(f"{db}.safety_events").count() == 1
+    purged = jobs.purge_all(spark, db)
+    assert {t: p for t, p in purged.items() if p} == {"safety_events": ["2025-09-01"]}
+    assert [r.source for r in spark.table(f"{db}.safety_events").collect()] == ["later"]
 
 
 def test_backlog_file(spark, tmp_path):
