@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from haulmark.catalog import (
-    q_calendar, q_changes, q_functions, q_ingest, q_reports, q_shaping, q_sources,
+    q_calendar, q_changes, q_functions, q_ingest, q_reports, q_shaping, q_sources, q_stored,
 )
 
 from haulmark.catalog.base import Run
 from haulmark.session import tune
 
-_MODULES = (q_functions, q_sources, q_ingest, q_shaping, q_changes, q_calendar, q_reports)
+_MODULES = (q_functions, q_sources, q_ingest, q_shaping, q_changes, q_calendar, q_reports, q_stored)
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

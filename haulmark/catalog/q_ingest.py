@@ -223,14 +223,15 @@ SAFETY = {
     "Metric Subtype": blotted("event_id + 2", "event_type"), "Source": "'camera'",
     "Review Details": "props",
 }
-_pipeline("ingest_safety_events", "events", SAFETY, {
+SAFETY_ORACLE: Oracle = {
     "event_date": d("Date"), "delivery_associate": t("Delivery Associate"),
     "transporter_id": t("Transporter ID"), "event_id": ("Event ID", lambda x: D.to_int(x, "BIGINT")),
     "event_datetime": ("Date Time (PDT/PST)", lambda x: D.round_second(D.to_datetime(x))),
     "vin": t("VIN"), "oss_impact": t("OSS Impact"), "metric_type": t("Metric Type"),
     "metric_subtype": t("Metric Subtype"), "source": t("Source"),
     "video_link": ("Source", lambda x: "CAST(NULL AS VARCHAR)"), "review_details": t("Review Details"),
-}, lambda raw: I.ingest_table(S.SAFETY_EVENTS, raw))
+}
+_pipeline("ingest_safety_events", "events", SAFETY, SAFETY_ORACLE, lambda raw: I.ingest_table(S.SAFETY_EVENTS, raw))
 
 # I6 fleet -----------------------------------------------------------------------
 

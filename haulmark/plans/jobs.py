@@ -29,7 +29,7 @@ from haulmark.sources.sinks import conform, ingest_report, stage_rows
 from haulmark.sources.stored import PART, replace_table, table_or_empty
 
 __all__ = ["ingest_directory", "ingest_backlog_file", "store_rows", "revenue_week", "revenue_recent",
-           "update_tenure", "merge_tenure_report", "purge_duplicates", "purge_all", "table_schema"]
+           "update_tenure", "merge_tenure_report", "purge_duplicates", "purge_all", "table_schema", "append_new"]
 
 _BUNDLE = (S.DELIVERED_PACKAGES, S.SERVICE_DETAILS, S.TRAINING, S.UNPLANNED_DELAY, S.WEEKLY_WORK)
 _MATRIX = ("daily_overview", "weekly_overview")
@@ -43,7 +43,7 @@ def table_schema(spec: S.TableSpec) -> T.StructType:
     return schema.add("row_sig", "string") if spec.signature else schema
 
 
-def _append_new(spark: SparkSession, name: str, schema: T.StructType, signed: DataFrame, order: Sequence[str]) -> None:
+def append_new(spark: SparkSession, name: str, schema: T.StructType, signed: DataFrame, order: Sequence[str]) -> None:
     """Append the rows whose signature is not stored. A signature holds what makes its partition, so only the
     signatures of the partitions that the rows fall in are read, and no other column."""
     known = ST.parts_of(spark, name, T.StructType([schema["row_sig"]]), ST.touched_parts(signed))
@@ -58,7 +58,7 @@ def _store_noted(spark: SparkSession, name: str, rows: DataFrame, file: str) ->
     signed = counted.withColumn("row_sig", F.sha2(content, 256)).withColumn(
         PART, F.lpad(F.pmod(F.xxhash64(col(file)), F.lit(_BUCKETS)).cast("string"), 2, "0"))
     signed = stage_rows(signed, "noted")
-    _append_new(spark, name, signed.drop(PART).schema, signed, ["row_sig"])
+    append_new(spark, name, signed.drop(PART).schema, signed, ["row_sig"])
 
 
 def store_rows(spark: SparkSession, spec: S.TableSpec, rows: DataFrame, order: list[str],
@@ -78,7 +78,7 @@ def store_rows(spark: SparkSession, spec: S.TableSpec, rows: DataFrame, order: l
         label = run or uuid.uuid4().hex
         ST.write_partitions(spark, conform(rows.select(*schema.names), schema).withColumn(PART, F.lit(label)), name, [label])
     elif spec.mode == "ignore_dups":
-        _append_new(spark, name, schema, with_signature(rows, spec.signature_parts()).withColumn(PART, part), order)
+        append_new(spark, name, schema, with_signature(rows, spec.signature_parts()).withColumn(PART, part), order)
     elif spec.mode == "coalesce":
         needed = [f.name for f in spec.fields if f.required]
         merged = upsert_coalesce(table_or_empty(spark, name, schema), rows, key, order, needed[-1])

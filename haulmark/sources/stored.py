@@ -203,14 +203,14 @@ def write_partitions(spark: SparkSession, df: DataFrame, name: str, parts: Itera
         s.getPath().getName().removeprefix(f"{PART}=")): s.getPath().toString()
         for s in files.listStatus(place) if s.isDirectory() and s.getPath().getName().startswith(f"{PART}=")}
     _retire(spark, name, [before[p] for p in wanted if p in before])
-    for p, at in sorted(written.items()):
-        where = f"PARTITION ({PART} = {_quoted(p)})"
-        if p in before:
-            spark.sql(f"ALTER TABLE {name} {where} SET LOCATION {_quoted(at)}")
-        else:
-            spark.sql(f"ALTER TABLE {name} ADD PARTITION ({PART} = {_quoted(p)}) LOCATION {_quoted(at)}")
-    for p in sorted((wanted & set(before)) - set(written)):
-        spark.sql(f"ALTER TABLE {name} DROP PARTITION ({PART} = {_quoted(p)})")
+    for p in sorted(set(written) & set(before)):
+        spark.sql(f"ALTER TABLE {name} PARTITION ({PART} = {_quoted(p)}) SET LOCATION {_quoted(written[p])}")
+    fresh = " ".join(f"PARTITION ({PART} = {_quoted(p)}) LOCATION {_quoted(written[p])}" for p in sorted(set(written) - set(before)))
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD {fresh}")
+    gone = ", ".join(f"PARTITION ({PART} = {_quoted(p)})" for p in sorted((wanted & set(before)) - set(written)))
+    if gone:
+        spark.sql(f"ALTER TABLE {name} DROP {gone}")
     spark.catalog.refreshTable(name)
     purge_versions(spark, name, retention)
     return sorted(written)

@@ -34,7 +34,7 @@ def ingest_arrivals(spark: SparkSession, source: str, database: str, checkpoint:
         seen += len(files)
 
     query = (
-        spark.readStream.format("binaryFile").option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary").option("recursiveFileLookup", True).option("maxFilesPerTrigger", files_per_batch)
         .load(source).select("path").writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
