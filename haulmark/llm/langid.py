@@ -146,22 +146,22 @@ def _accept(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in each(batches):
-            for part in W.slices(batch, "known text"):
-                _, share = score_texts(part.column(part.num_columns - 2), model)
-                keep = pa.array(part.column(part.num_columns - 1).to_numpy(zero_copy_only=False) & (share >= least))
-                kept = part.select(range(part.num_columns - 2)).filter(keep)
+            for part in W.slices(batch, "text"):
+                _, share = score_texts(part.column("text"), model)
+                kept = part.filter(pa.array(part.column("letter").to_numpy(zero_copy_only=False) & (share >= least)))
                 if kept.num_rows:
-                    yield kept
+                    yield kept.select(["row"])
     return run
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` with a text in a language that the model finds with probability ``least`` or more.
 
-    All columns are kept as they are. Texts that are null or without a letter go; so do all if nothing was learned.
+    All columns are kept as they are, whatever their names. Texts that are null or without a letter go; so do all if nothing was learned.
     """
     spark = ship(docs.sparkSession)
     if not model.languages:
         return docs.limit(0)
-    rows = docs.select("*", F.col("text").alias("known text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has letter"))
-    return rows.mapInArrow(_accept(spark.sparkContext.broadcast(model), least), docs.schema)
+    packed = docs.select(F.struct("*").alias("row"))
+    rows = packed.select("row", F.col("row.text").alias("text"), F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
+    return rows.mapInArrow(_accept(spark.sparkContext.broadcast(model), least), packed.schema).select("row.*")

@@ -107,6 +107,76 @@ def test_repeats_of_odd_rows(documents):
     assert R.repeated_passages(documents([(7, text + "\n" + text)])).count() == 0
 
 
+def boilerplate_pairs(pairs, r, similar):
+    """Pairs of passages of 80 words made of four lines that each stand alone in documents before; the second copy has words changed."""
+    fresh = lambda n: [f"v{r.randrange(10 ** 9)}" for _ in range(n)]
+    rows, n = [], 1000
+    for k in range(pairs):
+        lines = [fresh(20) for _ in range(4)]
+        rows += [(4 * k + j, " ".join(fresh(40) + line + fresh(40))) for j, line in enumerate(lines)]
+        passage = sum(lines, [])
+        other = passage
+        while True:
+            other = edited(passage, similar, r)
+            a, b = ({tuple(x[j:j + 5]) for j in range(len(x) - 4)} for x in (passage, other))
+            if len(a & b) >= 0.8 * len(a | b):
+                break
+        rows += [(n, " ".join(fresh(25) + passage + fresh(25))), (n + 1, " ".join(fresh(30) + other + fresh(30)))]
+        n += 2
+    r.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("changes", [1, 2, 3])
+def test_recall_of_edited_passages_between_boilerplate(documents, changes):
+    """Of passages with edits at a similarity of 0.8 to 0.95, 97 % at least are found."""
+    pairs = 120
+    rows = boilerplate_pairs(pairs, random.Random(20 + changes), changes)
+    found = {(min(x.doc_id, x.other_id), max(x.doc_id, x.other_id)) for x in R.repeated_passages(documents(rows)).collect()}
+    caught = sum((1000 + 2 * k, 1001 + 2 * k) in found for k in range(pairs))
+    assert caught >= 0.97 * pairs
+    assert all(a >= 1000 and b == a + 1 for a, b in found)
+
+
+def test_rows_of_one_id_with_different_texts(spark, documents):
+    """Each text of an id is searched, whatever the order of rows, and cut by its own passages."""
+    p, q = ([f"{x}{k}" for k in range(60)] for x in "pq")
+    own = lambda x, n=10: [f"{x}o{k}" for k in range(n)]
+    rows = [(2, " ".join(own("a") + p)), (2, " ".join(own("b") + q)), (2, "short"), (2, "short"), (5, " ".join(p + own("c"))), (7, " ".join(q + own("d"))),
+            (9, " ".join(own("e") + p)), (9, " ".join(p + own("f"))), (11, " ".join(own("g", 80))), (11, " ".join(own("h", 80)))]
+    for order in (rows, rows[::-1]):
+        found = R.repeated_passages(documents(order))
+        got = {frozenset((x.doc_id, x.other_id)) for x in found.collect()}
+        # pairs hold the holders of a passage together
+        assert got - {frozenset((2, 7))} <= {frozenset(x) for x in ((2, 5), (2, 9), (5, 9))} and frozenset((2, 7)) in got and len(got) >= 3
+        held = [(r.doc_id, r.text) for r in R.without_repeats(documents(order), found).collect()]
+        # every text stays, a passage in one document only
+        assert len(held) == len(rows) and {i for i, _ in held} == {2, 5, 7, 9, 11}
+        assert len({i for i, t in held if "p30" in t.split()}) == 1 and len({i for i, t in held if "q30" in t.split()}) == 1
+        assert sum(t == "short" for _, t in held) == 2 and sum(i == 11 for i, _ in held) == 2
+
+
+def test_columns_with_names_of_ours(spark):
+    text = " ".join(f"w{k}" for k in range(80))
+    rows = [(k, text + f" own{k}", "en", "s", 5, "a", "b", "c", True, "d", 7) for k in range(3)] + [(9, "x" * 9, "en", "s", 9, "a", "b", "c", False, "d", 7)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, cuts string, row string, of string, `known text` boolean, id_ string, text_key long")
+    kept = R.without_repeats(docs, R.repeated_passages(docs))
+    assert kept.dtypes == docs.dtypes
+    got = {r.doc_id: r for r in kept.collect()}
+    assert got[0].text == text + " own0" and got[1].text == "own1" and got[1].n_chars == 4 and got[2]["known text"] is True and got[9].cuts == "a"
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.near_dedup, corpus_pipeline.substring_dedup):
+        assert stage(spark, docs, "/root/testdata/sf0.001").dtypes == docs.dtypes
+
+
+def test_a_very_long_text_and_many_copies(documents):
+    long = " ".join(f"w{k % 9973}x{k // 9973}" for k in range(300_000))
+    part = " ".join(long.split()[150_000:150_060])
+    rows = [(1, long)] + [(10 + k, f"a{k} {part} b{k}") for k in range(200)]
+    found = {(x.doc_id, x.other_id, x.n_words) for x in R.repeated_passages(documents(rows)).where("first").collect()}
+    assert found == {(10 + k, 1, 60) for k in range(200)}
+
+
 def test_nearest_smaller():
     r = random.Random(0)
     for _ in range(50):
