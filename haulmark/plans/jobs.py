@@ -193,7 +193,7 @@ def revenue_week(spark: SparkSession, rates: DataFrame, week: str, database: str
 
 
 def revenue_recent(spark: SparkSession, database: str, today: dt.date, days: int = 14) -> None:
-    """Rebuild the revenue log of the last ``days`` days, ``today`` included, at the stored rates."""
+    """Rebuild the revenue log from ``days`` before ``today`` to that day, both included, at the stored rates."""
     _rebuild_log(spark, database, *R.default_window(today, days))
 
 

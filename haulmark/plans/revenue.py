@@ -108,5 +108,5 @@ def rebuild_revenue_log(log: DataFrame, fresh: DataFrame, date_from: dt.date | s
 
 
 def default_window(today: dt.date, days: int = 14) -> tuple[dt.date, dt.date]:
-    """The last two weeks, ending on the given day."""
+    """From ``days`` before the given day to that day, both included."""
     return today - dt.timedelta(days=days), today
