@@ -21,6 +21,8 @@ from haulmark.llm.pretoken import Splitter
 REMEMBER = 1 << 18
 #: Pieces longer than this are not remembered.
 LONG = 64
+#: Pieces or texts that the library is given at once.
+GROUP = 4096
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -90,14 +92,19 @@ class LibraryEncoder(Encoder):
         self.library.no_padding()
 
     def new_ids(self, pieces: list[str]) -> Iterable[bytes]:
-        for a in range(0, len(pieces), 4096):
-            for e in self.library.encode_batch_fast(pieces[a:a + 4096], add_special_tokens=False):
-                yield _little(e.ids)
+        # pieces go in as the words of one text, which spares an object for each; every piece has a token
+        for a in range(0, len(pieces), GROUP):
+            group = pieces[a:a + GROUP]
+            coded = self.library.encode_batch([group], is_pretokenized=True, add_special_tokens=False)[0]
+            ids = _little(coded.ids)
+            cuts = (4 * np.searchsorted(np.array(coded.word_ids), np.arange(len(group) + 1))).tolist()
+            yield from (ids[x:y] for x, y in zip(cuts[:-1], cuts[1:]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.split.fits:
             return super().encode(texts)
-        coded = list(self.new_ids(texts))
+        coded = [_little(e.ids) for a in range(0, len(texts), GROUP)
+                 for e in self.library.encode_batch_fast(texts[a:a + GROUP], add_special_tokens=False)]
         return (np.frombuffer(b"".join(coded), "<u4"),
                 np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded], dtype=np.int64)]))
 

@@ -113,8 +113,10 @@ def _write(path: str, end_id: int, chunk: int, block: int, bits: bool):
         for batch in each(batches):
             for part in W.slices(batch, "text"):
                 ids, offsets = encoder.encode([t or "" for t in part.column(1).to_pylist()])
+                ids = np.insert(ids, offsets[1:], np.uint32(end_id))
+                offsets = offsets + np.arange(len(offsets))
                 for k, doc in enumerate(part.column(0).to_pylist()):
-                    held.append((np.append(ids[offsets[k]:offsets[k + 1]], np.uint32(end_id)), doc))
+                    held.append((ids[offsets[k]:offsets[k + 1]], doc))
                     size += len(held[-1][0])
                     if size >= chunk:
                         yield row()
