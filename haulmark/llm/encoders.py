@@ -16,12 +16,12 @@ from itertools import chain
 
 import numpy as np
 
-from haulmark.llm.pretoken import Splitter
+from haulmark.llm.pretoken import Splitter, byte_letters
 
 REMEMBER = 1 << 18
 #: Pieces longer than this are not remembered.
 LONG = 64
-#: Pieces or texts that the library is given at once.
+#: Texts that the library is given at once.
 GROUP = 4096
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -90,15 +90,15 @@ class LibraryEncoder(Encoder):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.special = {p: _little([n]) for p, n in self.split.special.items()}
 
     def new_ids(self, pieces: list[str]) -> Iterable[bytes]:
-        # pieces go in as the words of one text, which spares an object for each; every piece has a token
-        for a in range(0, len(pieces), GROUP):
-            group = pieces[a:a + GROUP]
-            coded = self.library.encode_batch([group], is_pretokenized=True, add_special_tokens=False)[0]
-            ids = _little(coded.ids)
-            cuts = (4 * np.searchsorted(np.array(coded.word_ids), np.arange(len(group) + 1))).tolist()
-            yield from (ids[x:y] for x, y in zip(cuts[:-1], cuts[1:]))
+        # the pieces are split already, so their bytes go straight to the library's model; 255 is no byte of UTF-8
+        tokenize = self.library.model.tokenize
+        words = b"\xff".join([p.encode("utf-8") for p in pieces]).decode("latin-1").translate(self.letters).split(self.letters[255])
+        for piece, word in zip(pieces, words):
+            yield self.special.get(piece) or _little([t.id for t in tokenize(word)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.split.fits:

@@ -17,18 +17,12 @@ from collections.abc import Iterable
 import numpy as np
 
 from haulmark.llm.encoders import Encoder
+from haulmark.llm.pretoken import byte_letters
 
 SHORT = 48
 _NONE = np.iinfo(np.int32).max
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level files: itself if printable, else one from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(hidden)}
-
-
 class MergeEncoder(Encoder):
     """By the merges of a byte-level BPE file."""
 
