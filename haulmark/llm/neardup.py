@@ -36,7 +36,7 @@ BANDS, ROWS = 20, 4
 
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()),
                        ("key2", pa.int64()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("doc_id", pa.int64()), ("items", pa.list_(pa.int64()))])
+_SETS = pa.schema([("node", pa.int64()), ("items", pa.list_(pa.int64()))])
 _U = np.uint64
 
 
@@ -52,16 +52,23 @@ def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int64)))
 
 
+def set_keys(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit key of each set, in two halves."""
+    zero = np.zeros(1, _U)  # of the same type, as the sums would become floats beside a signed one
+    total = np.concatenate([zero, np.cumsum(W.mix(values), dtype=_U)])
+    other = np.concatenate([zero, np.cumsum(W.mix(values ^ _U(0x5851F42D4C957F2D)), dtype=_U)])
+    key1 = total[offsets[1:]] - total[offsets[:-1]]
+    key2 = other[offsets[1:]] - other[offsets[:-1]] + np.diff(offsets).astype(_U)
+    return key1.view(np.int64), key2.view(np.int64)
+
+
 def _features(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in each(batches):
             for part in W.slices(batch, "text"):
                 values, offsets = text_sets(part.column(1), size)
                 count = np.diff(offsets)
-                total = np.concatenate([[0], np.cumsum(W.mix(values), dtype=_U)])
-                other = np.concatenate([[0], np.cumsum(W.mix(values ^ _U(0x5851F42D4C957F2D)), dtype=_U)])
-                key1 = total[offsets[1:]] - total[offsets[:-1]]
-                key2 = other[offsets[1:]] - other[offsets[:-1]] + count.astype(_U)
+                key1, key2 = set_keys(values, offsets)
                 sig = signatures(values, offsets, bands * rows).reshape(-1, bands, rows)
                 keys = np.zeros(sig.shape[:2], _U)
                 for r in range(rows):
@@ -70,17 +77,21 @@ def _features(size: int, bands: int, rows: int):
                 full = count > 0
                 at = np.concatenate([[0], np.cumsum(np.where(full, bands, 0))])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(count), pa.array(key1.view(np.int64)), pa.array(key2.view(np.int64)),
+                    [part.column(0), pa.array(count), pa.array(key1), pa.array(key2),
                      _lists(keys[full].reshape(-1), at)], schema=_FEATURES)
     return run
 
 
 def _sets(size: int):
+    """The set of each row's text for its node, if it is the node's: a repeated id may have other texts too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in each(batches):
             for part in W.slices(batch, "text"):
                 values, offsets = text_sets(part.column(1), size)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(values, offsets)], schema=_SETS)
+                key1, key2 = set_keys(values, offsets)
+                own = (key1 == part.column("key1").to_numpy()) & (key2 == part.column("key2").to_numpy())
+                sets = pa.RecordBatch.from_arrays([part.column("node"), _lists(values, offsets)], schema=_SETS)
+                yield sets if own.all() else sets.filter(pa.array(own))
     return run
 
 
@@ -91,7 +102,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component_id is the least doc_id reachable over links, its own included; kept says
     that it is the row's own. A null or empty text, or one of white space only, has no
     shingles and stands alone. Rows with a null id are kept, with a null component.
-    Rows with one id are one node; each of them gets a row. An empty table gives none.
+    Rows with one id are one node, with the links of all their texts; each of them gets a row. Very long texts
+    are read whole. An empty table gives none; other columns, whatever their names, are not read.
     """
     with scratch(docs.sparkSession):
         return stash(_groups(id_text(docs, id_col, text_col), shingle, percent, bands, rows), "groups", keep=True)
@@ -100,23 +112,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _groups(texts: DataFrame, shingle: int, percent: int, bands: int, rows: int) -> DataFrame:
     features = stash(texts.mapInArrow(_features(shingle, bands, rows),
                                       "doc_id long, n_shingles long, key1 long, key2 long, bands array<long>"), "features")
-    classes = stash(features.where("n_shingles > 0 and doc_id is not null").groupBy("key1", "key2")
-                    .agg(F.min("doc_id").alias("rep")), "classes")
-    links = stash(_links(texts, features, classes, shingle, percent), "near")
-    roots = components(links, "x", "y")
-    named = classes.join(roots, classes["rep"] == roots["node"], "left").select(
-        "key1", "key2", F.coalesce("root", "rep").alias("root"))
-    out = features.drop("bands").join(named, ["key1", "key2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("root", "doc_id")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), component)
+    known = features.where("n_shingles > 0 and doc_id is not null")
+    again = not known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    # classes go by the least id that has them, or by numbers if an id may have several
+    classes = known.groupBy("key1", "key2").agg(F.min("doc_id").alias("rep"))
+    classes = stash(classes.withColumn("node", F.monotonically_increasing_id() if again else F.col("rep")), "classes")
+    links = _links(texts, features, classes, again, shingle, percent)
+    if again:
+        own = stash(known.join(classes, ["key1", "key2"]).select("doc_id", "node").distinct(), "own")
+        one = own.groupBy("doc_id").agg(F.min("node").alias("y"))
+        links = links.unionByName(own.join(one, "doc_id").where("node <> y").select(F.col("node").alias("x"), "y"))
+    roots = components(stash(links, "near"), "x", "y")
+    named = classes.join(roots, "node", "left").select("key1", "key2", "node", "rep", F.coalesce("root", "node").alias("root"))
+    if again:
+        least = named.groupBy("root").agg(F.min("rep").alias("least"))
+        of_id = own.join(named, "node").join(least, "root").select("doc_id", F.col("least").alias("root")).distinct()
+        out = features.drop("bands").join(of_id, "doc_id", "left")
+    else:
+        out = features.drop("bands").join(named.select("key1", "key2", "root"), ["key1", "key2"], "left")
+        out = out.withColumn("root", F.when(F.col("n_shingles") > 0, F.col("root")))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, again: bool, shingle: int, percent: int) -> DataFrame:
     """Links (x, y) between classes that hold the components together; none is missed that shares a band."""
-    keyed = features.join(classes.select("key1", "key2", F.col("rep").alias("doc_id")), ["key1", "key2", "doc_id"], "left_semi")
-    member = stash(keyed.select(F.col("doc_id").alias("x"), F.explode("bands").alias("bucket")).distinct(), "buckets")
+    keyed = features.join(classes.withColumnRenamed("rep", "doc_id"), ["key1", "key2", "doc_id"])
+    member = stash(keyed.select(F.col("node").alias("x"), F.explode("bands").alias("bucket")).distinct(), "buckets")
     size = member.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stash(member.join(size, "bucket"), "shared")
     discard(member)
@@ -126,11 +149,13 @@ def _links(texts: DataFrame, features: DataFrame, classes: DataFrame, shingle: i
             .select("bucket", (-F.col("top.minus")).alias("hub")))
     pairs = stash(shared.join(hubs, "bucket").where("x <> hub").select("x", "hub").distinct(), "pairs")
     discard(shared)
-    wanted = pairs.select(F.col("x").alias("doc_id")).union(pairs.select("hub")).distinct()
-    sets = stash(likely(texts, wanted).join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-                 .mapInArrow(_sets(shingle), "doc_id long, items array<long>"), "sets")
-    met = (pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("items").alias("xs")), "x")
-           .join(sets.select(F.col("doc_id").alias("hub"), F.col("items").alias("hs")), "hub")
+    met_nodes = pairs.select(F.col("x").alias("node")).union(pairs.select("hub")).distinct()
+    wanted = stash(classes.join(met_nodes, "node").select(F.col("rep").alias("doc_id"), "node", "key1", "key2"), "wanted")
+    sets = (likely(texts, wanted).join(wanted, "doc_id").select("doc_id", "text", "node", "key1", "key2")
+            .mapInArrow(_sets(shingle), "node long, items array<long>"))
+    sets = stash(sets.dropDuplicates(["node"]) if again else sets, "sets")
+    met = (pairs.join(sets.select(F.col("node").alias("x"), F.col("items").alias("xs")), "x")
+           .join(sets.select(F.col("node").alias("hub"), F.col("items").alias("hs")), "hub")
            .withColumn("missing", F.array_except("hs", "xs")).withColumn("extra", F.array_except("xs", "hs"))
            .select("hub", "x", F.size("xs").alias("nx"), F.size("hs").alias("nh"), F.size("missing").alias("m"),
                    F.size("extra").alias("e"),
