@@ -9,7 +9,8 @@ fewer; no words, no set). Texts are linked if 100 * |A & B| >= percent * |A | B|
    class with most bucket company over all bands, is compared with each member. Copies of
    one text with edits of their own differ from each other more than from the original,
    and that is the hub.
-3. Links between two members that are not both confirmed against the hub are found without
+3. Members far from the hub are compared with one of themselves in its place, and so on; what is
+   linked with the same one is a family. Links between members of different families are found without
    trying all pairs: written as differences from the hub, such members must share more than
    a certain number of differences, so they share one among the rarest few of either
    (prefix filter). What shares one is confirmed exactly.
@@ -21,6 +22,7 @@ is missed with a probability of 4e-7. Everything after that is exact.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -183,6 +185,10 @@ def _rest(met: DataFrame, percent: int) -> DataFrame:
     around = met.groupBy("hub").agg(F.min("w").alias("w_low"), F.min(F.when(~F.col("near"), F.col("w"))).alias("w_far"),
                                     F.count(F.lit(1)).alias("n")).where("n > 1 and w_far is not null").drop("n")
     met = stash(met.join(around, "hub"), "rest")
+    held = _families(met.where("not near"), percent)
+    # members of one family are linked already, so only differences that two families have in common can add anything
+    family = F.coalesce("g", F.when(F.col("near"), F.col("hub")), F.col("x"))
+    met = met.join(held, ["hub", "x"], "left").withColumn("g", family)
     item = met.select("hub", "x", F.explode("diff").alias("d"))
     often = item.groupBy("hub", "d").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # differences that no other member has come first in the order, so they only use up places of the prefix
@@ -190,18 +196,41 @@ def _rest(met: DataFrame, percent: int) -> DataFrame:
                .agg(F.sort_array(F.collect_list(F.struct("df", "d"))).alias("common")))
     size = F.col("m") + F.col("e")
     places = lambda least: (size - F.ceil(F.greatest(least, F.lit(1.0)) - F.lit(1e-6)) + 1) - (size - F.size("common"))
-    ready = met.select("hub", "x", "near", "m", "e", "w", "c", "w_low", "w_far").join(ordered, ["hub", "x"])
+    ready = met.select("hub", "x", "g", "near", "m", "e", "w", "c", "w_low", "w_far").join(ordered, ["hub", "x"])
     first = lambda least: F.explode(F.slice("common", 1, F.greatest(places(least), F.lit(0)).cast("int")))
-    left = (ready.where("not near").select("hub", "x", first(F.col("w") - F.col("c") + F.col("w_low")).alias("i"))
-            .select("hub", "x", F.col("i.d").alias("d")))
-    right = (ready.select("hub", F.col("x").alias("y"), "near", first(F.col("w") - F.col("c") + F.col("w_far")).alias("i"))
-             .select("hub", "y", "near", F.col("i.d").alias("d")))
-    pairs = left.join(right, ["hub", "d"]).where("near or x < y").where("x <> y").select("hub", "x", "y").distinct()
+    left = (ready.where("not near").select("hub", "x", "g", first(F.col("w") - F.col("c") + F.col("w_low")).alias("i"))
+            .select("hub", "x", "g", F.col("i.d").alias("d")))
+    right = stash(ready.select("hub", F.col("x").alias("y"), F.col("g").alias("gy"), "near", first(F.col("w") - F.col("c") + F.col("w_far")).alias("i"))
+                  .select("hub", "y", "gy", "near", F.col("i.d").alias("d")), "differences")
+    mixed = right.groupBy("hub", "d").agg(F.min("gy").alias("low"), F.max("gy").alias("high")).where("low <> high").select("hub", "d")
+    pairs = (left.join(right.join(mixed, ["hub", "d"]), ["hub", "d"]).where("near or x < y").where("g <> gy")
+             .select("hub", "x", "y").distinct())
     facts = met.select("hub", "x", "nx", "nh", "m", "diff")
     other = met.select("hub", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("m").alias("m2"), F.col("diff").alias("diff2"))
     common = F.col("nh") - F.col("m") - F.col("m2") + F.size(F.array_intersect("diff", "diff2"))
     both = F.lit(100) * common >= F.lit(percent) * (F.col("nx") + F.col("ny") - common)
-    return pairs.join(facts, ["hub", "x"]).join(other, ["hub", "y"]).where(both).select("x", "y")
+    crossing = pairs.join(facts, ["hub", "x"]).join(other, ["hub", "y"]).where(both).select("x", "y")
+    return crossing.unionByName(held.where("x <> g").select("x", F.col("g").alias("y")))
+
+
+def _families(far: DataFrame, percent: int) -> DataFrame:
+    """(hub, x, g): members that aren't linked with their hub but with g, another such member of the hub.
+
+    In each round the member least different from the hub is compared with all that have no family yet. Rounds go on while
+    they place a tenth of these; members left over have no row and are looked for by their differences.
+    """
+    open_, rounds = far.select("hub", "x", "nx", "nh", "m", "w", "diff"), []
+    while True:
+        lead = (open_.groupBy("hub").agg(F.min(F.struct("w", "x", "nx", "m", "diff")).alias("s"), F.count(F.lit(1)).alias("n"))
+                .where("n > 1").select("hub", "s"))
+        common = F.col("nh") - F.col("m") - F.col("s.m") + F.size(F.array_intersect("diff", "s.diff"))
+        near = F.lit(100) * common >= F.lit(percent) * (F.col("nx") + F.col("s.nx") - common)
+        tried = stash(open_.join(lead, "hub").select(*open_.columns, F.col("s.x").alias("g"), near.alias("placed")), "families")
+        rounds.append(tried.where("placed").select("hub", "x", "g"))
+        size, placed = tried.agg(F.count(F.lit(1)), F.count_if(F.col("placed") & (F.col("x") != F.col("g")))).first()
+        if 10 * placed <= size:
+            return functools.reduce(DataFrame.unionByName, rounds)
+        open_ = tried.where("not placed").select(*open_.columns)
 
 
 def without_duplicates(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -91,6 +91,21 @@ def test_groups_of_odd_rows(documents):
     assert near_duplicates(documents([])).count() == 0
 
 
+def test_families_around_one_hub_are_not_paired_up(documents, monkeypatch):
+    """Two families at a similarity of some 0.75 share buckets; links follow the number of members."""
+    from haulmark.llm import neardup
+    r = random.Random(3)
+    base = [f"w{r.randrange(10 ** 6)}" for _ in range(300)]
+    other = base[:262] + [f"v{k}" for k in range(38)]
+    rows = [(k, " ".join(edited(base if k % 5 < 3 else other, 3, r))) for k in range(150)]
+    seen = []
+    whole = neardup.components
+    monkeypatch.setattr(neardup, "components", lambda links, x, y: (seen.append(links.distinct().count()), whole(links, x, y))[1])
+    got = {x.doc_id: x.component_id for x in near_duplicates(documents(rows), shingle=3, percent=85).collect()}
+    assert got == {k: c for k, (_, c) in brute_groups(rows, 3, 85).items()}
+    assert len(set(got.values())) == 2 and seen[0] < 8 * len(rows)
+
+
 def test_set_keys_depend_on_the_set_alone():
     texts = pa.array(["a b c d e", None, "x y", "E F G H", "x  Y", "a b c d e", "e f g h"])
     key1, key2 = set_keys(*text_sets(texts, 3))
