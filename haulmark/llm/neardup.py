@@ -197,13 +197,19 @@ def _rest(met: DataFrame, percent: int) -> DataFrame:
     size = F.col("m") + F.col("e")
     places = lambda least: (size - F.ceil(F.greatest(least, F.lit(1.0)) - F.lit(1e-6)) + 1) - (size - F.size("common"))
     ready = met.select("hub", "x", "g", "near", "m", "e", "w", "c", "w_low", "w_far").join(ordered, ["hub", "x"])
-    first = lambda least: F.explode(F.slice("common", 1, F.greatest(places(least), F.lit(0)).cast("int")))
-    left = (ready.where("not near").select("hub", "x", "g", first(F.col("w") - F.col("c") + F.col("w_low")).alias("i"))
-            .select("hub", "x", "g", F.col("i.d").alias("d")))
-    right = stash(ready.select("hub", F.col("x").alias("y"), F.col("g").alias("gy"), "near", first(F.col("w") - F.col("c") + F.col("w_far")).alias("i"))
-                  .select("hub", "y", "gy", "near", F.col("i.d").alias("d")), "differences")
+    first = lambda least: F.posexplode(F.slice("common", 1, F.greatest(places(least), F.lit(0)).cast("int"))).alias("k", "i")
+    # of each difference in a prefix, how many of the member's common ones come after it
+    after = (F.size("common") - F.col("k") - 1).alias("after")
+    left = (ready.where("not near").select("hub", "x", "g", "m", "e", "w", "c", "common", first(F.col("w") - F.col("c") + F.col("w_low")))
+            .select("hub", "x", "g", F.col("i.d").alias("d"), after, "m", "e", (F.col("w") - F.col("c")).alias("w")))
+    right = stash(ready.select("hub", F.col("x").alias("y"), F.col("g").alias("gy"), "near", "m", "e", "w", "common", first(F.col("w") - F.col("c") + F.col("w_far")))
+                  .select("hub", "y", "gy", "near", F.col("i.d").alias("d"), after.alias("after2"), F.col("m").alias("m2"), F.col("e").alias("e2"),
+                          F.col("w").alias("w2")), "differences")
     mixed = right.groupBy("hub", "d").agg(F.min("gy").alias("low"), F.max("gy").alias("high")).where("low <> high").select("hub", "d")
-    pairs = (left.join(right.join(mixed, ["hub", "d"]), ["hub", "d"]).where("near or x < y").where("g <> gy")
+    # a link needs w + w' - c shared differences: no more than either has of a kind, and of the first one that is shared, no more than come after it
+    enough = F.expr("least(1 + least(after, after2), least(m, m2) + least(e, e2)) >= w + w2 - 1e-6")
+    pairs = (left.join(right.join(mixed, ["hub", "d"]).withColumnsRenamed({"hub": "hub2", "d": "d2"}),
+                       (F.col("hub") == F.col("hub2")) & (F.col("d") == F.col("d2")) & F.expr("near or x < y") & F.expr("g <> gy") & enough)
              .select("hub", "x", "y").distinct())
     facts = met.select("hub", "x", "nx", "nh", "m", "diff")
     other = met.select("hub", F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("m").alias("m2"), F.col("diff").alias("diff2"))
