@@ -13,7 +13,8 @@ from haulmark.operators.columns import col
 from haulmark.operators.ranking import slice_ordinal
 
 __all__ = [
-    "explode_participants", "helper_suffix", "classify_helpers", "blank_helper_columns",
+    "explode_participants", "helper_suffix", "number_helpers", "classify_helpers", "tag_helpers",
+    "blank_helper_columns",
     "explode_list", "melt_matrix", "daily_metrics", "weekly_metrics", "unpivot_daily",
     "unpivot_weekly", "resolve_year", "long_metrics", "metrics_wide",
 ]
@@ -47,16 +48,22 @@ def helper_suffix(df: DataFrame, scope: Sequence[str], arrival: Sequence[str],
     row number. The count runs in blocks of that number, so a code that fills a
     file is still split.
     """
-    df = df.withColumn(code, F.coalesce(col(code), F.lit("")))
+    first = df.filter(col(index) == 0).withColumn(code, F.coalesce(col(code), F.lit("")))
+    return first.unionByName(number_helpers(df.filter(col(index) > 0), scope, arrival, code, index, block))
+
+
+def number_helpers(helpers: DataFrame, scope: Sequence[str], arrival: Sequence[str],
+                   code: str = "route_code", index: str = "participant_index",
+                   block: int = 1 << 16) -> DataFrame:
+    """Rows that are all helpers, with ``code(n)`` as ``helper_suffix`` counts it."""
+    helpers = helpers.withColumn(code, F.coalesce(col(code), F.lit("")))
     slices = {f"__slice{i}": col(c) for i, c in enumerate(arrival[:-1])}
     slices["__block"] = F.floor(col(arrival[-1]) / F.lit(block))
-    helpers = slice_ordinal(
-        df.filter(col(index) > 0), [*scope, code], slices,
-        [col(arrival[-1]), col(index)], "__helper")
-    numbered = helpers.withColumn(
+    numbered = slice_ordinal(
+        helpers, [*scope, code], slices, [col(arrival[-1]), col(index)], "__helper")
+    return numbered.withColumn(
         code, F.concat(col(code), F.lit("("), F.col("__helper").cast("string"), F.lit(")"))
     ).drop("__helper")
-    return df.filter(col(index) == 0).unionByName(numbered)
 
 
 def classify_helpers(df: DataFrame, scope: Sequence[str], name: str = "driver_name",
@@ -64,24 +71,32 @@ def classify_helpers(df: DataFrame, scope: Sequence[str], name: str = "driver_na
     """Tag helper rows.
 
     A name seen exactly twice and once as a helper is a Rescue; a name that is
-    never first and at least once a helper is a Sweeper. Counts are aggregated
-    per name on the map side, only names that earn a tag are joined back, and only
-    named helper rows take part in the join: first participants and rows without a
-    name, which would all meet in one partition, are not shuffled.
+    never first and at least once a helper is a Sweeper. First participants are not shuffled.
+    """
+    first = df.filter(col(index) <= 0).withColumn(tag, F.lit(None).cast("string"))
+    return first.unionByName(tag_helpers(df.filter(col(index) > 0), df, scope, name, index, tag))
+
+
+def tag_helpers(helpers: DataFrame, df: DataFrame, scope: Sequence[str], name: str = "driver_name",
+                index: str = "participant_index", tag: str = "helper_tag") -> DataFrame:
+    """``helpers`` with the tags that ``classify_helpers`` finds from all rows ``df``.
+
+    Counts are aggregated per name on the map side, and only names that earn a tag are joined
+    back. Helpers without a name, which would all meet in one partition, are spread over all.
     """
     key = [*scope, "__name"]
-    work = df.withColumn("__name", F.nullif(strip(col(name)), F.lit("")))
-    can_earn = (col(index) > 0) & F.col("__name").isNotNull()
-    seen = work.filter(F.col("__name").isNotNull()).groupBy(*key).agg(
+    named = F.nullif(strip(col(name)), F.lit(""))
+    seen = df.withColumn("__name", named).filter(F.col("__name").isNotNull()).groupBy(*key).agg(
         F.count(F.lit(1)).alias("__all"),
         F.sum((col(index) > 0).cast("long")).alias("__late"))
-    tagged = seen.select(*key, F.when(
+    tagged = seen.select(*key, F.lit(0).cast("long").alias("__spread"), F.when(
         (F.col("__all") == 2) & (F.col("__late") == 1), F.lit("Rescue")
     ).when(F.col("__all") == F.col("__late"), F.lit("Sweeper")).alias(tag))
     tagged = tagged.filter(F.col(tag).isNotNull())
-    helpers = work.filter(can_earn).join(tagged, key, "left").select(*df.columns, tag)
-    others = work.filter(~can_earn).select(*df.columns, F.lit(None).cast("string").alias(tag))
-    return others.unionByName(helpers)
+    rows = [col(c) for c in helpers.columns]
+    work = helpers.withColumn("__name", named).withColumn(
+        "__spread", F.when(F.col("__name").isNull(), F.xxhash64(*rows)).otherwise(F.lit(0).cast("long")))
+    return work.join(tagged, [*key, "__spread"], "left").select(*rows, tag)
 
 
 def blank_helper_columns(df: DataFrame, columns: Sequence[str],

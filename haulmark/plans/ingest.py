@@ -16,8 +16,8 @@ from haulmark.operators.checks import drop_null_keys
 from haulmark.operators.columns import col
 from haulmark.operators.headers import canonical_headers, require_columns
 from haulmark.operators.reshape import (
-    blank_helper_columns, classify_helpers, daily_metrics, explode_list, explode_participants,
-    helper_suffix, resolve_year, weekly_metrics,
+    blank_helper_columns, daily_metrics, explode_list, explode_participants, number_helpers,
+    resolve_year, tag_helpers, weekly_metrics,
 )
 from haulmark.plans import specs as S
 
@@ -43,13 +43,15 @@ def ingest_routes(raw: DataFrame, snapshot: Column, scope: Sequence[str],
     keep = tuple(dict.fromkeys([*carry, *scope, *arrival]))
     typed = S.apply_spec(S.ROUTES, raw, {"snapshot_dt": snapshot}, keep)
     rows = explode_participants(typed)
+    first = rows.filter("participant_index = 0").withColumn("route_code", F.coalesce("route_code", F.lit("")))
+    # each use of the rows parses the texts anew, so helpers are told from the others once
+    helpers = blank_helper_columns(
+        number_helpers(rows.filter("participant_index > 0"), scope, arrival),
+        ["route_duration_min", "all_stops", "stops_complete", "not_started_stops"])
     if helper_tags:
-        rows = classify_helpers(rows, scope).withColumn(
-            "delivery_service_type", F.coalesce("helper_tag", "delivery_service_type"))
-    rows = blank_helper_columns(
-        rows, ["route_duration_min", "all_stops", "stops_complete", "not_started_stops"])
-    numbered = helper_suffix(rows, scope, arrival)
-    return numbered.select(*[col(c) for c in carry], *[col(c) for c in S.ROUTES.schema().names])
+        helpers = tag_helpers(helpers, rows, scope).withColumn(
+            "delivery_service_type", F.coalesce("helper_tag", "delivery_service_type")).drop("helper_tag")
+    return first.unionByName(helpers).select(*[col(c) for c in carry], *[col(c) for c in S.ROUTES.schema().names])
 
 
 def ingest_itineraries(raw: DataFrame, file_datetime: Column, split_routes: bool = False,

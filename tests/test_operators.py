@@ -184,3 +184,19 @@ def test_an_absent_metric_makes_the_score_null(spark):
     first = whole.select("metric_code").first()[0]
     assert SC.projected_score(whole, SC.policy(spark), ["unit"]).first()[1] is not None
     assert SC.projected_score(whole.filter(F.col("metric_code") != first), SC.policy(spark), ["unit"]).first()[1] is None
+
+
+def test_helpers_are_read_apart_once(spark):
+    """Numbering reads the rows twice, tags and first participants once each, and no join sees first participants."""
+    from haulmark.plans.ingest import ingest_routes
+    spark.createDataFrame(
+        [("f", 1, "CX1", "A|B", "x|y"), ("f", 2, "CX1", "C|D", "z|x"), ("f", 3, "CX1", "E|F|G", "u")],
+        "file string, line long, `Route Code` string, `Transporter ID` string, `Driver Name` string").write.mode("overwrite").saveAsTable("helper_rows")
+    snapshot = F.lit("2025-09-04 14:11:00").cast("timestamp_ntz")
+    out = ingest_routes(spark.table("helper_rows"), snapshot, ["file"], ["line"], helper_tags=True, carry=("line",))
+    got = {(r.line, r.route_code): (r.driver_name, r.delivery_service_type) for r in out.collect()}
+    assert got == {(1, "CX1"): ("x", None), (1, "CX1(1)"): ("y", "Sweeper"), (2, "CX1"): ("z", None), (2, "CX1(2)"): ("x", "Rescue"),
+                   (3, "CX1"): ("u", None), (3, "CX1(3)"): (None, None), (3, "CX1(4)"): (None, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation spark_catalog.default.helper_rows") <= 4
+    spark.sql("DROP TABLE helper_rows")
