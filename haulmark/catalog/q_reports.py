@@ -13,7 +13,7 @@ from haulmark.catalog.q_ingest import (
 from haulmark.catalog.q_shaping import JOINED_SQL, people_rows, service_rows
 from haulmark.operators.reshape import long_metrics
 from haulmark.plans import dashboards as DB, revenue as R, scorecard as SC, specs as S, tenure as TN
-from haulmark.plans.ingest import ingest_table
+from haulmark.plans.ingest import ingest_table, ingest_totals
 
 QUERIES = Registry()
 
@@ -188,11 +188,15 @@ def _rates(spark, sf):
 
 
 def _log(spark, sf):
+    def totals(spec, source, raw, by, sums=()):
+        return ingest_totals(spec, raw_frame(table(spark, sf, source), raw), by, sums)
+
     return R.build_revenue_log(
-        _typed(spark, sf, S.SERVICE_DETAILS, "lineitem", SERVICE),
-        _typed(spark, sf, S.WEEKLY_WORK, "orders", WORK),
-        _typed(spark, sf, S.DELIVERED_PACKAGES, "lineitem", DELIVERED),
-        _typed(spark, sf, S.TRAINING, "orders", TRAINING), _rates(spark, sf), *_LOG_RANGE)
+        totals(S.SERVICE_DETAILS, "lineitem", SERVICE, ["row_date", "station", "service_type", "planned_duration_label"]),
+        totals(S.WEEKLY_WORK, "orders", WORK, ["row_date", "station", "amzl_late_cancel"]),
+        totals(S.DELIVERED_PACKAGES, "lineitem", DELIVERED, ["metric_date", "station", "package_type"], ["package_count"]),
+        totals(S.TRAINING, "orders", TRAINING, ["assignment_date", "station", "total_hours"]),
+        _rates(spark, sf), *_LOG_RANGE, n_rows="n_rows")
 
 
 _LOG_SQL = f"""service AS (SELECT * FROM ({raw_sql("lineitem", SERVICE)})), work AS ({raw_sql("orders", WORK)}),

@@ -82,6 +82,24 @@ def ingest_table(spec: S.TableSpec, raw: DataFrame, carry: Sequence[str] = ()) -
     return S.apply_spec(spec, raw, carry=tuple(carry))
 
 
+def ingest_totals(spec: S.TableSpec, raw: DataFrame, by: Sequence[str], sums: Sequence[str] = ()) -> DataFrame:
+    """Typed columns ``by`` of ``ingest_table``, with ``n_rows``, the rows that have such texts, and the totals of ``sums``.
+
+    Texts are counted before they are parsed, so each different row of texts is parsed once. Rows that differ in
+    spelling only stay apart. A total is null where no row has a number.
+    """
+    fields = {f.name: f for f in spec.fields}
+    frame = canonical_headers(raw, spec.aliases, spec.date_column)
+    texts = list(dict.fromkeys(c for c in (fields[n].source or n for n in by) if c in frame.columns))
+    added = [n for n in sums if (fields[n].source or n) in frame.columns]
+    numbers = [fields[n].parse(col(fields[n].source or n).cast("string")).cast(fields[n].dtype).alias(f"__sum_{n}") for n in added]
+    counted = frame.select(*[col(c) for c in texts], *numbers).groupBy(*[col(c) for c in texts]).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.sum(f"__sum_{n}").alias(f"__sum_{n}") for n in added])
+    typed = S.apply_spec(spec, counted, carry=("n_rows", *[f"__sum_{n}" for n in added]))
+    return typed.select(*[col(n) for n in by], *[
+        (col(f"__sum_{n}") if n in added else F.lit(None).cast("long")).alias(n) for n in sums], "n_rows")
+
+
 def ingest_quality_daily(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Daily quality rows; rows without a date are dropped."""
     return drop_null_keys(S.apply_spec(S.QUALITY_DAILY, raw, carry=tuple(carry)), ["metric_date"])

@@ -60,24 +60,25 @@ def _pieces(df: DataFrame, date: str, kind: Column, count: Column, hours: Column
 
 def build_revenue_log(service: DataFrame, weekly_work: DataFrame, delivered: DataFrame,
                       training: DataFrame, rates: DataFrame, date_from: dt.date | str,
-                      date_to: dt.date | str) -> DataFrame:
+                      date_to: dt.date | str, n_rows: str | None = None) -> DataFrame:
     """Daily revenue rows of the inclusive window.
 
     The four sources are filtered by date, stacked and counted per (day, station,
     service type, hours) before the rate lookup, so the join sees one row per
-    group and not one per route or parcel.
+    group and not one per route or parcel. ``n_rows`` names the column that says for how many rows one of the
+    sources stands, its parcels being their total (see ``ingest_totals``); without it each stands for itself.
     """
     def window(df: DataFrame, date: str) -> DataFrame:
         return df.filter(F.col(date).between(F.lit(date_from).cast("date"), F.lit(date_to).cast("date")))
 
     none = F.lit(0)
-    one = F.lit(1)
+    one = F.col(n_rows) if n_rows else F.lit(1)
     routes = _pieces(
         window(service, "row_date"), "row_date", H.service_type(F.col("service_type")), one,
         F.coalesce(H.hours_label(F.col("planned_duration_label")), none), True)
     cancels = _pieces(
         window(weekly_work, "row_date"), "row_date", F.lit(CANCEL),
-        F.coalesce(H.to_int(F.col("amzl_late_cancel")), none), none, False)
+        F.coalesce(H.to_int(F.col("amzl_late_cancel")), none) * one, none, False)
     kind = H.service_type(F.col("package_type"))
     parcels = _pieces(
         window(delivered, "metric_date").filter(kind.isin(PACKAGE, INCENTIVE)), "metric_date", kind,

@@ -200,3 +200,31 @@ def test_helpers_are_read_apart_once(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation spark_catalog.default.helper_rows") <= 4
     spark.sql("DROP TABLE helper_rows")
+
+
+def test_texts_are_counted_before_they_are_parsed(spark):
+    from haulmark.plans import revenue as R, specs as S
+    from haulmark.plans.ingest import ingest_table, ingest_totals
+    delivered = spark.createDataFrame(
+        [("2025-09-01", "Hub (n1)", "3", "Package"), ("2025-09-01", "Hub (n1)", "x", "Package"), ("2025-09-01", "Hub (n1)", "1,000", "Package"),
+         ("9/1/2025", "Hub (n1)", None, "Package"), ("9/1/2025", "n1", "2", "my incentive"), (None, "n1", "2", "Package")],
+        "`Date` string, `Station` string, `Package Count` string, `Package Type` string")
+    service = spark.createDataFrame(
+        [("2025-09-01", "Hub (n1)", "A", "8 hr")] * 3 + [("2025-09-01", " Hub (n1)", "A", "8 hr"), ("2025-09-01", None, None, None)],
+        "`Date` string, `Station` string, `Service Type` string, `Planned Duration` string")
+    work = spark.createDataFrame([("2025-09-01", "n1", "2")] * 2 + [("2025-09-02", "n1", "N/A")], "`Date` string, `Station` string, `AMZL Late Cancel` string")
+    training = spark.createDataFrame([("2025-09-01", "n1", "4 Hr")] * 2 + [("2025-09-01", "n1", None)], "`Assignment Date` string, `Station` string, `Total Duration` string")
+    rates = spark.createDataFrame([("N1", "A", "2025-W36", 2)], "station_code string, service_type string, iso_year_week string, revenue_rate int").withColumn(
+        "revenue_rate", F.col("revenue_rate").cast("decimal(18,4)"))
+    sources = [(S.SERVICE_DETAILS, service, ["row_date", "station", "service_type", "planned_duration_label"], []),
+               (S.WEEKLY_WORK, work, ["row_date", "station", "amzl_late_cancel"], []),
+               (S.DELIVERED_PACKAGES, delivered, ["metric_date", "station", "package_type"], ["package_count"]),
+               (S.TRAINING, training, ["assignment_date", "station", "total_hours"], [])]
+    window = "2025-08-01", "2025-09-30"
+    plain = R.build_revenue_log(*[ingest_table(s, raw) for s, raw, _, _ in sources], rates, *window)
+    totals = [ingest_totals(*x) for x in sources]
+    got = R.build_revenue_log(*totals, rates, *window, n_rows="n_rows")
+    order = lambda df: sorted(map(str, df.collect()))
+    assert order(got) == order(plain) and len(order(got)) == 7
+    assert [t.count() for t in totals] == [3, 2, 4, 2]
+    assert {r.package_count for r in totals[2].collect()} == {1003, None, 2}
