@@ -19,6 +19,8 @@ SAMPLE = 3000
 #: Ids of the sample are broadcast if there are no more than this.
 BROADCAST = 1 << 19
 UNKNOWN = "und"
+#: Bytes of text whose n-grams are held at once; they take some fifty times as much.
+SLICE = 1 << 19
 
 _U = np.uint64
 
@@ -56,7 +58,7 @@ def _count(languages: list[str]):
         total = np.zeros(len(languages) * FEATURES, np.int64)
         place = {name: k for k, name in enumerate(languages)}
         for batch in each(batches):
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 of = np.array([place[x] for x in part.column(0).to_pylist()], np.int64)
                 for feature, row in ngrams(part.column(1)):
                     total += np.bincount(of[row] * FEATURES + feature, minlength=len(total))
@@ -117,7 +119,7 @@ def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in each(batches):
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 known = part.column(2).to_numpy(zero_copy_only=False)
                 best, share = score_texts(part.column(1), model)
                 names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, known)]
@@ -146,7 +148,9 @@ def _accept(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in each(batches):
-            for part in W.slices(batch, "text"):
+            # the text is in the row, and isn't sent beside it again
+            whole = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("row").field("text"), batch.column("letter")], names=["row", "text", "letter"])
+            for part in W.slices(whole, "text", SLICE):
                 _, share = score_texts(part.column("text"), model)
                 kept = part.filter(pa.array(part.column("letter").to_numpy(zero_copy_only=False) & (share >= least)))
                 if kept.num_rows:
@@ -163,5 +167,5 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     if not model.languages:
         return docs.limit(0)
     packed = docs.select(F.struct("*").alias("row"))
-    rows = packed.select("row", F.col("row.text").alias("text"), F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
+    rows = packed.select("row", F.coalesce(F.col("row.text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     return rows.mapInArrow(_accept(spark.sparkContext.broadcast(model), least), packed.schema).select("row.*")

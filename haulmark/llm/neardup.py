@@ -35,6 +35,8 @@ from haulmark.llm.components import components
 from haulmark.llm.superminhash import signatures
 
 BANDS, ROWS = 20, 4
+#: Bytes of text whose sets are held at once.
+SLICE = 1 << 20
 
 _FEATURES = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key1", pa.int64()),
                        ("key2", pa.int64()), ("bands", pa.list_(pa.int64()))])
@@ -67,7 +69,7 @@ def set_keys(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
 def _features(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in each(batches):
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 values, offsets = text_sets(part.column(1), size)
                 count = np.diff(offsets)
                 key1, key2 = set_keys(values, offsets)
@@ -88,7 +90,7 @@ def _sets(size: int):
     """The set of each row's text for its node, if it is the node's: a repeated id may have other texts too."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in each(batches):
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 values, offsets = text_sets(part.column(1), size)
                 key1, key2 = set_keys(values, offsets)
                 own = (key1 == part.column("key1").to_numpy()) & (key2 == part.column("key2").to_numpy())
