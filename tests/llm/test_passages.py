@@ -91,6 +91,35 @@ def test_every_holder_meets_one_that_has_the_passage(documents):
     assert {(x.doc_id, x.other_id) for x in found} >= {(300 + 10 * k + j, 200 + k) for k in range(12) for j in range(2)}
 
 
+def between_fillers(pairs, fillers, r):
+    """Pairs of passages of 70 words, the second with a word changed, all whose runs of words stand in earlier and longer documents between other words; the rows of a pair are 1000 + 2 k and 1001 + 2 k."""
+    fresh = lambda n: [f"v{r.randrange(10 ** 9)}" for _ in range(n)]
+    both = [(p, p[:j] + fresh(1) + p[j + 1:]) for p, j in ((fresh(70), r.randint(20, 50)) for _ in range(pairs))]
+    pieces = [x[a:a + 24] for pair in both for x in pair for a in range(0, len(x) - 15, 8)]
+    rows = []
+    for k in range(fillers):
+        r.shuffle(pieces)
+        rows.append((k, " ".join(sum((fresh(r.randint(10, 25)) + p for p in pieces), []))))
+    return rows + [(1000 + 2 * k + j, " ".join(fresh(20) + x + fresh(20))) for k, pair in enumerate(both) for j, x in enumerate(pair)]
+
+
+def test_edited_passages_whose_runs_lead_elsewhere(documents):
+    """The first holder of every run, and the one that shares most, are other documents; the passage is found all the same."""
+    rows = between_fillers(8, 50, random.Random(5))
+    found = {tuple(sorted((x.doc_id, x.other_id))) for x in R.repeated_passages(documents(rows)).collect()}
+    assert found == {(1000 + 2 * k, 1001 + 2 * k) for k in range(8)}
+
+
+def test_first_tokens_of_stretches():
+    r = np.random.default_rng(1)
+    values, looked = r.integers(0, 40, 120).astype(np.uint64), r.random(111) < 0.3
+    wanted = set()
+    for s in np.flatnonzero(looked):
+        least = sorted(set(values[s:s + 10].tolist()))[:3]
+        wanted |= {int(p) for p in range(s, s + 10) if values[p] in least}
+    assert set(np.flatnonzero(R._prefixes(values, looked, 10, 3)).tolist()) == wanted
+
+
 def test_edited_passages(documents):
     r = random.Random(3)
     base = [f"p{k}" for k in range(200)]
