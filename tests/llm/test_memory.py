@@ -29,3 +29,13 @@ def test_language_id_holds_little_at_once():
     tracemalloc.stop()
     assert sum(b.num_rows for b in kept) == 1999 and kept[0].column("row").field("doc_id")[0].as_py() == 1
     assert peak < 60 << 20, peak
+
+
+def test_rows_are_chosen_by_id_without_python(documents):
+    rows = common.id_text(documents([(i, f"t{i}") for i in (*range(-70, 70), common.SLOTS + 3, 1 << 62)] + [(None, "x")]))
+    ids = rows.sparkSession.createDataFrame([(i,) for i in (-64, -1, 0, 3, 62, 63, 1 << 62, None)], "doc_id long")
+    found = common.likely(rows, ids)
+    assert sorted(r.doc_id for r in found.collect()) == [-64, -1, 0, 3, 62, 63, common.SLOTS + 3, 1 << 62]
+    assert all(r.text == f"t{r.doc_id}" for r in found.collect())
+    assert "InArrow" not in found._jdf.queryExecution().toString()
+    assert common.likely(rows, ids.limit(0)).count() == 0
