@@ -1,8 +1,10 @@
 """Repeated passages, benchmark leaks and page texts against brute force; the stages of the pipeline."""
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -120,6 +122,60 @@ def test_first_tokens_of_stretches():
     assert set(np.flatnonzero(R._prefixes(values, looked, 10, 3)).tolist()) == wanted
 
 
+def test_a_token_that_comes_again_and_again_is_one_place():
+    """A line that stands 200 times in a document doesn't meet others 200 times; what known passages link differs inside and outside of them."""
+    line = [f"l{k}" for k in range(60)]
+    known = [{"first_word": 600, "n_words": 300, "other_id": 3, "links": 9, "first": False}, {"first_word": 700, "n_words": 100, "other_id": 4, "links": 1, "first": False}]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 7, "text": " ".join(line * 200), "spans": list(range(12000 // R.SPAN + 1)), "known": known, "own": 2},
+                                        {"doc_id": 8, "text": "short", "spans": [0], "known": None, "own": 0}])
+    every = SimpleNamespace(value=np.full(1 << R.SLOT_BITS - 3, 255, np.uint8))
+    rows = [x for b in R._places(50, 80, every)(iter([batch])) for x in b.to_pylist()]
+    assert 0 < len(rows) <= 3 * 60 and {(x["g"], tuple(x["linked"])) for x in rows} == {(7, (7,)), (3, (3, 7)), (3, (3, 4, 7))}
+    for x in rows:
+        if x["linked"] != [7]:
+            low, high = (600, 896) if 4 not in x["linked"] else (700, 796)
+            assert low <= x["p"] <= x["q"] < high and (x["q"] - x["p"]) % 60 == 0
+    assert max(x["q"] - x["p"] for x in rows) > 10000
+
+
+def test_stretches_with_a_share_of_flags():
+    r = np.random.default_rng(3)
+    for _ in range(300):
+        flags = r.random(r.integers(0, 60)) < r.choice([0.5, 0.8, 0.9])
+        dense = any(flags[a:b].sum() >= 8 / 9 * (b - a) - 1e-9 for a in range(len(flags)) for b in range(a + 9, len(flags) + 1))
+        assert R._sparse(flags, 9, 8 / 9) == (not dense)
+
+
+def test_compared_stretches_equal_the_plain_definition():
+    def plain(xs, ys, least, percent):
+        share, out = 2 * percent / (100 + percent), []
+        both = np.isin(xs, ys)
+        for part, dense in ((R._longest, share), (R._covered, share), (R._covered, (1 + share) / 2), (R._covered, 1.0)):
+            for a, b in part(both, least, dense):
+                if any(a < c + n and c < b for c, n, *_ in out):
+                    continue
+                mine = set(xs[a:b].tolist())
+                best = None
+                for c, d in part(np.isin(ys, xs[a:b]), least, dense):
+                    theirs = set(ys[c:d].tolist())
+                    value = len(mine & theirs) / len(mine | theirs)
+                    if best is None or value > best[4]:
+                        best = (a, b - a, c, d - c, value)
+                if best and 100 * best[4] >= percent - 1e-9 and best[1] >= least and best[3] >= least:
+                    out.append(best)
+        return out
+    r = np.random.default_rng(4)
+    found = 0
+    for _ in range(300):
+        base = r.integers(-2 ** 31, 2 ** 31, 90).astype(np.int32)
+        side = lambda: np.concatenate([r.integers(0, 50, r.integers(0, 60)), np.where(r.random(90) < 0.05, 7, base)[r.integers(0, 30):], r.choice(base, r.integers(0, 20))]).astype(np.int32)
+        xs, ys = side(), side()
+        got = R.compare(xs, ys, 46, 80)
+        assert got == plain(xs, ys, 46, 80)
+        found += len(got)
+    assert found > 50 and R.compare(xs, xs, 46, 80) == plain(xs, xs, 46, 80) and R.compare(xs[:45], xs[:45], 46, 80) == []
+
+
 def test_edited_passages(documents):
     r = random.Random(3)
     base = [f"p{k}" for k in range(200)]
