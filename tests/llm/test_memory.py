@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 
-from haulmark.llm import common, langid
+from haulmark.llm import common, langid, repeats as R
 
 
 def test_memory_goes_back_before_and_after_the_batches(monkeypatch):
@@ -39,3 +39,41 @@ def test_rows_are_chosen_by_id_without_python(documents):
     assert all(r.text == f"t{r.doc_id}" for r in found.collect())
     assert "InArrow" not in found._jdf.queryExecution().toString()
     assert common.likely(rows, ids.limit(0)).count() == 0
+
+
+def test_batches_are_small_inside_only(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    sizes = lambda: {r.n for r in spark.range(0, 95, 1, 1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()}
+    before = spark.conf.get(name, None)
+    with common.batches_of(spark, 10):
+        assert sizes() == {10, 5}
+    assert spark.conf.get(name, None) == before and sizes() == {95}
+
+
+def test_passages_are_looked_for_in_small_batches(documents, monkeypatch):
+    monkeypatch.setattr(R, "ROWS", 4)
+    seen = []
+    flags = R._flags
+
+    def spied(texts, keys_of):
+        seen.append(max(r.n for r in texts.coalesce(1).mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in bs), "n long").collect()))
+        return flags(texts, keys_of)
+    monkeypatch.setattr(R, "_flags", spied)
+    text = " ".join(f"w{k}" for k in range(60))
+    assert {x.doc_id for x in R.repeated_passages(documents([(k, text) for k in range(30)])).collect()} == set(range(1, 30))
+    assert seen and max(seen) <= 4
+
+
+def test_flags_on_the_driver(documents):
+    """All flags are 16 MB; the driver has them once, as bits."""
+    text = " ".join(f"w{k}" for k in range(5000))
+    texts = common.id_text(documents([(1, text), (2, "x " + text), (3, " ".join(f"z{k}" for k in range(3000)))]))
+    tracemalloc.start()
+    flags = R._flags(texts, R._run_keys(50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    keys = np.concatenate([k[0] for k in R._keyed(pa.array([text, "x " + text]), 50)])
+    unique, count = np.unique(keys, return_counts=True)
+    slots = np.unique(unique[count > 1] >> np.uint64(64 - R.SLOT_BITS))
+    assert np.array_equal(np.flatnonzero(np.unpackbits(flags)), slots)
+    assert peak < 64 << 20, peak
