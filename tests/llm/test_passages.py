@@ -448,3 +448,50 @@ def test_sql_of_the_queries(spark):
     for name, sql in SQL.items():
         got = sorted(map(tuple, QUERIES[name](spark, folder).collect()))
         assert got == sorted(con.execute(sql).fetchall())
+
+
+def test_every_edited_passage_is_found(documents):
+    """Pairs of passages with one word changed, wherever it is, that have nothing else in common: none is left to chance."""
+    r = random.Random(6)
+    fresh = lambda n: [f"v{r.randrange(10 ** 9)}" for _ in range(n)]
+    rows = []
+    for k in range(2000):
+        p, j = fresh(50), r.randrange(20, 30)
+        rows += [(2 * k, " ".join(fresh(20) + p + fresh(20))), (2 * k + 1, " ".join(fresh(30) + p[:j] + fresh(1) + p[j + 1:] + fresh(10)))]
+    found = {(x.doc_id, x.other_id) for x in R.repeated_passages(documents(rows)).collect()}
+    assert {tuple(sorted(x)) for x in found} == {(2 * k, 2 * k + 1) for k in range(2000)}
+
+
+def test_a_passage_links_only_the_stretches_that_it_holds():
+    """A token at the end of a known passage was chosen for stretches behind it too, which it doesn't link."""
+    text = " ".join(f"w{k}" for k in range(300))
+    known = [{"first_word": 0, "n_words": 90, "other_id": 3, "links": 9, "first": False}]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 7, "text": text, "spans": list(range(20)), "known": known, "own": 2}])
+    every = SimpleNamespace(value=np.full(1 << R.SLOT_BITS - 3, 255, np.uint8))
+    rows = [x for b in R._places(50, 80, every)(iter([batch])) for x in b.to_pylist()]
+    linked = {tuple(x["linked"]) for x in rows if x["p"] < 40}
+    behind = [x for x in rows if 60 <= x["p"] < 86 and x["linked"] == [7]]
+    assert (3, 7) in linked and behind and all(x["linked"] == [7] for x in rows if x["p"] >= 86)
+
+
+def test_documents_with_common_pieces_are_not_all_compared(documents, monkeypatch):
+    """Texts of words said over and over, in any order, and of a common passage after a common line, are no match beyond what is known: few pairs are compared."""
+    r = random.Random(12)
+    fresh = lambda n: [f"v{r.randrange(10 ** 9)}" for _ in range(n)]
+    said, line, passage = fresh(30), fresh(13), fresh(60)
+    rows = [(k, " ".join(sum(([w] * r.randint(20, 30) for w in r.sample(said, 7)), []))) for k in range(80)]
+    rows += [(100 + k, " ".join(fresh(60) + (line if k % 4 == 0 else []) + passage + fresh(60))) for k in range(80)]
+    compared, count = R._compared, []
+    monkeypatch.setattr(R, "_compared", lambda pairs, *x: count.append(pairs.count()) or compared(pairs, *x))
+    found = R.repeated_passages(documents(rows)).collect()
+    assert {x.doc_id for x in found} | {x.other_id for x in found} >= exact_holders(rows)
+    assert len(count) == 2 and count[1] <= 400, count
+
+
+def test_numbers_of_tokens():
+    r = np.random.default_rng(2)
+    for wide in (50, 1 << 17, 1 << 31):
+        tokens = r.integers(-wide, wide, 3000).astype(np.int32)
+        got = R._numbers(tokens)
+        assert got.max() < 2 * len(tokens) and np.array_equal(np.unique(got, return_index=True)[1].size, np.unique(tokens).size)
+        assert all(len(set(tokens[got == n].tolist())) == 1 for n in np.unique(got)[:200])
