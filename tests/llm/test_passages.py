@@ -444,7 +444,8 @@ def test_sql_of_the_queries(spark):
     from haulmark.llm.queries import QUERIES, SQL
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     for name, sql in SQL.items():
         got = sorted(map(tuple, QUERIES[name](spark, folder).collect()))
         assert got == sorted(con.execute(sql).fetchall())
